@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch, so that a batch of long texts stays small.
@@ -69,18 +69,18 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
 
 
-def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Left join of rows with one row per key.
+def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, spread: Column) -> DataFrame:
+    """Left join of rows with groups, one row per key, whose `size` column says how many rows a key has.
 
-    `size` holds how many rows a key has. Keys with at least total/HOT_SHARE rows, which are HOT_SHARE
-    at most, are broadcast, so no task gathers a hot key; the others are joined by a shuffle.
+    Keys with at least total/HOT_SHARE rows, HOT_SHARE at most, are broadcast, so no task gathers a hot
+    key. The others are joined by a shuffle, in which rows of hot keys go by `spread` (of the key's type).
     """
     floor = max(2, -(-total // HOT_SHARE))
-    hot = groups.where(F.col(size) >= floor)
-    is_hot = F.broadcast(hot.select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in groups.columns if c != key]))
     others = [c for c in groups.columns if c != key]
-    tagged = rows.join(is_hot, rows[key] == F.col("_hot_key"), "left")
-    hot_rows = tagged.where(F.col("_hot_key").isNotNull()).select(*[rows[c] for c in rows.columns], *[F.col(f"_hot_{c}").alias(c) for c in others])
-    cold_rows = tagged.where(F.col("_hot_key").isNull()).select(*[rows[c] for c in rows.columns])
-    cold = groups.where(F.col(size) < floor)
-    return hot_rows.unionByName(cold_rows.join(cold, key, "left").select(*rows.columns, *others))
+    hot = groups.where(F.col(size) >= floor).select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in others])
+    cold = groups.where(F.col(size) < floor).select(F.col(key).alias("_cold_key"), F.lit(False).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in others])
+    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    is_hot = F.col("_hot_key").isNotNull()
+    tagged = tagged.withColumn("_to", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.col(key))).withColumn("_is_hot", is_hot | F.col(key).isNull())
+    joined = tagged.join(cold, (F.col("_to") == F.col("_cold_key")) & (F.col("_is_hot") == F.col("_cold")), "left")
+    return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in others])

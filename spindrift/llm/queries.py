@@ -6,16 +6,46 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spindrift.llm import bpe
+from spindrift.llm import balltree, bpe, media, warc
 from spindrift.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicate(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op8_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op10_pair_index_bpe,)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_warc_revisits, op7_ball_tree_top_k, op8_iso_media, op10_pair_index_bpe)}
+#: The bits of a SHA-1, five at a time, as letters of base32.
+BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(5), lambda j: ((strpos('0123456789abcdef', substr(h, 1 + (5 * i + j) // 4, 1)) - 1)
+    >> (3 - (5 * i + j) % 4)) % 2 * (16 >> j)))::INT, 1)), '')"""
+
+ORACLES: dict[str, str] = {
+    "op5_warc_revisits": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+    SELECT page_id, payload_bytes, {BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to FROM f""",
+    "op7_ball_tree_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+    r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
