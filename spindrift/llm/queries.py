@@ -8,16 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import balltree, bpe, media, warc
+from spindrift.llm import balltree, bpe, media, packing, quality, warc
 from spindrift.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.deduplicate(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_tree_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, capacity=1024, end_id=2)
+
+
 def op7_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -30,7 +38,7 @@ def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_warc_revisits, op7_ball_tree_top_k, op8_iso_media, op10_pair_index_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bradley_terry, op5_warc_revisits, op6_tree_packing, op7_ball_tree_top_k, op8_iso_media, op10_pair_index_bpe)}
 #: The bits of a SHA-1, five at a time, as letters of base32.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + list_sum(list_transform(range(5), lambda j: ((strpos('0123456789abcdef', substr(h, 1 + (5 * i + j) // 4, 1)) - 1)
