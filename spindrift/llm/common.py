@@ -84,3 +84,62 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     tagged = tagged.withColumn("_to", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.col(key))).withColumn("_is_hot", is_hot | F.col(key).isNull())
     joined = tagged.join(cold, (F.col("_to") == F.col("_cold_key")) & (F.col("_is_hot") == F.col("_cold")), "left")
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in others])
+
+
+#: Bits of a bitmap: 2 MB, whatever the input.
+BITMAP_BITS = 24
+
+
+def bitmap(numbers: DataFrame) -> np.ndarray:
+    """Bits for the values of the one long column of a table, folded to BITMAP_BITS.
+
+    A filter of fixed size: it lets through every value of the table and, the fuller it is, others too.
+    At most 2^BITMAP_BITS / 64 rows come to the driver.
+    """
+    column = F.col(numbers.columns[0])
+    place = numbers.where(column.isNotNull()).select(F.pmod(column, F.lit(1 << BITMAP_BITS)).alias("at"))
+    words = place.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values.astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def may_be_in(bits: np.ndarray, ids: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """in_bitmap for a column of ids; null ids always pass."""
+    missing = ids.is_null().to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.is_null().to_numpy()
+    return missing | in_bitmap(bits, ids.fill_null(0).to_numpy())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, label: the connected components of edges (a, b) of longs, each labelled by its smallest node.
+
+    Large-star and small-star steps in turn; each reduces by key before it shuffles, a hub's edges are
+    not gathered, and the edges of each round are checkpointed.
+    """
+
+    def nearest(e: DataFrame, total: int) -> DataFrame:
+        least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        return join_counted(e, least, "u", "n", total, spread=F.xxhash64("u", "v")).select("u", "v", F.least("m", "u").alias("m"))
+
+    def mark(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first())
+
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    e = cut(e)
+    before = mark(e)
+    while before[0]:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = nearest(both, 2 * before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = nearest(large, before[0])
+        e = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        e = cut(e)
+        after = mark(e)
+        if after == before:
+            break
+        before = after
+    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
