@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import balltree, bpe, html, jaccard, media, packing, pii, quality, warc
+from spindrift.llm import balltree, bpe, html, jaccard, media, packing, paragraphs, pii, quality, warc
 from spindrift.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,11 +46,15 @@ def op8_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_texts(table(spark, sf_dir, "documents"))
 
 
+def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.deduplicate(table(spark, sf_dir, "documents"), report=True)
+
+
 def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bradley_terry, op2_host_paths, op3_bayes_minhash_join, op4_weak_supervision_pii, op5_warc_revisits, op6_tree_packing, op7_ball_tree_top_k, op8_iso_media, op10_pair_index_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bradley_terry, op2_host_paths, op3_bayes_minhash_join, op4_weak_supervision_pii, op5_warc_revisits, op6_tree_packing, op7_ball_tree_top_k, op8_iso_media, op9_paragraph_minhash, op10_pair_index_bpe)}
 #: The bits of a SHA-1, five at a time, as letters of base32.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + list_sum(list_transform(range(5), lambda j: ((strpos('0123456789abcdef', substr(h, 1 + (5 * i + j) // 4, 1)) - 1)
