@@ -1,16 +1,62 @@
-"""A corpus from documents: quality, near duplicates, repeated passages, personal data, packing."""
+"""A corpus from documents: quality, near duplicates, repeated passages, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of docs.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spindrift.llm import jaccard, packing, paragraphs, pii, quality
+from spindrift.llm.common import ensure_checkpoint_dir, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the Bradley-Terry classifier accepts."""
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), column="_quality")
+    return scored.where(F.col("_quality") >= 0.5).select(docs.columns)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest doc_id."""
+    return jaccard.first_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has."""
+    return paragraphs.deduplicate(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("substring dedup", substring_dedup),
+    ("PII", personal_data),
+    ("best-fit packing", best_fit_packing),
+]
 #: The stages learn models and resolve near duplicates, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents; what each but the last returns is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
