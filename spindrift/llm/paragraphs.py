@@ -40,51 +40,63 @@ STOPS = (".", "!", "?", ":", '"', "…", "。")
 SENTENCE_END = re.compile(rf"(?:\S*\s+){{0,{SNAP_WORDS}}}?\S*[.!?…。](?=\s|\Z)|\S*(?=\n|\Z)")
 
 
-def sub_paragraphs(texts: list[str], words: Words) -> tuple[np.ndarray, ...]:
+class Openers(Words):
+    """64-bit hashes of words; the last bit says whether the word has a capital."""
+
+    def __missing__(self, word: str) -> int:
+        h = super().__missing__(word)
+        h = self[word] = h - h % 2 + word[0].isupper()
+        return h
+
+
+def _starts(text: str, own: list[str], sizes: np.ndarray) -> np.ndarray:
+    """Where each word begins: by the lengths alone if single characters part the words."""
+    lead = len(text) - len(text.lstrip())
+    if lead + int(sizes.sum()) + len(own) - 1 == len(text.rstrip()):
+        return np.cumsum(sizes + 1) - sizes - 1 + lead
+    found = np.array([m.start() for m in WORD.finditer(text)], dtype=np.int64)
+    if len(found) == len(own):
+        return found
+    at, out = 0, []
+    for w in own:  # separators that only split() knows
+        at = text.index(w, at)
+        out.append(at)
+        at += len(w)
+    return np.array(out, dtype=np.int64)
+
+
+def sub_paragraphs(texts: list[str], words: Openers) -> tuple[np.ndarray, ...]:
     """For all texts: number of the text, first and last character, hash and second hash of each sub-paragraph."""
-    flat, starts, ends, opens, sizes = [], [], [], [], []
+    hashes, starts, ends, lines, sizes = [], [], [], [], []
     for text in texts:
         own = text.split()
-        sizes.append(len(own))
         if len(own) < WINDOW:
-            sizes[-1] = 0
+            sizes.append(0)
             continue
-        flat += map(words.__getitem__, own)
-        spans = [m.span() for m in WORD.finditer(text)] if len(own) else []
-        if len(spans) != len(own):  # separators that only one of the two knows
-            spans, at = [], 0
-            for w in own:
-                at = text.index(w, at)
-                spans.append((at, at + len(w)))
-                at += len(w)
-        starts += [a for a, _ in spans]
-        ends += [b for _, b in spans]
-        begins = [w[0].isupper() for w in own]
-        begins[0] = True
-        at = text.find("\n")
-        if at >= 0:
-            first_of = dict(zip((a for a, _ in spans), range(len(spans)), strict=True))
-            while at >= 0:
-                i = first_of.get(at + 1)
-                if i is not None:
-                    begins[i] = True
-                at = text.find("\n", at + 1)
-        opens += begins
-    if not flat:
+        sizes.append(len(own))
+        hashes.append(np.fromiter(map(words.__getitem__, own), dtype=np.uint64, count=len(own)))
+        long = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+        begin = _starts(text, own, long)
+        starts.append(begin)
+        ends.append(begin + long)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        first = points[np.maximum(begin - 1, 0)] == 10
+        first[0] = True
+        lines.append(first)
+    if not hashes:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty, empty, empty
-    h = np.array(flat, dtype=np.uint64)
+    h = np.concatenate(hashes)
     n = len(h)
     counts = np.array(sizes, dtype=np.int64)
     owner = np.repeat(np.arange(len(texts)), counts)
     left = np.repeat(np.cumsum(counts), counts) - np.arange(n)  # words to the end of the text
-    opens_a = np.array(opens, dtype=bool)
-    near = np.zeros(n, dtype=bool)
-    upto = np.r_[0, np.cumsum(opens_a)]
+    opens = np.concatenate(lines) | (h & U(1)).astype(bool)
+    upto = np.r_[0, np.cumsum(opens)]
     at = np.arange(n)
     near = upto[np.minimum(at + NEAR + 1, n)] > upto[np.maximum(at - NEAR, 0)]
     mixed = (h ^ (h >> U(31))) * U(0x9E3779B97F4A7C15)
-    anchor = (opens_a | ~near & ((mixed >> U(40)) % U(SPARSE) == 0)) & (left >= WINDOW)
+    anchor = (opens | ~near & ((mixed >> U(40)) % U(SPARSE) == 0)) & (left >= WINDOW)
     place = np.flatnonzero(anchor)
     one, two = np.zeros(len(place), dtype=np.uint64), np.zeros(len(place), dtype=np.uint64)
     for i in range(WINDOW):
@@ -93,13 +105,13 @@ def sub_paragraphs(texts: list[str], words: Words) -> tuple[np.ndarray, ...]:
         one ^= one >> U(29)
         two = (two + w) * U(0x94D049BB133111EB)
         two ^= two >> U(32)
-    begin, end = np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
+    begin, end = np.concatenate(starts), np.concatenate(ends)
     return owner[place], begin[place], end[place + WINDOW - 1], one.view(np.int64), two.view(np.int64)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = Openers()
         for t in regroup(batches, "text", CHUNK_BYTES):
             if len(words) > KEEP_WORDS:
                 words.clear()
