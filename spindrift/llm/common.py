@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, for what is read more than once, and the table's path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a stored table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Null texts count as empty."""
     return ["" if x is None else x for x in column.to_pylist()]

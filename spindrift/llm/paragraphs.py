@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import bitmap, cut, in_bitmap, join_counted, may_be_in, regroup, strings
+from spindrift.llm.common import bitmap, cut, discard, in_bitmap, join_counted, may_be_in, regroup, stored, strings
 from spindrift.llm.jaccard import THRESHOLD, Bands, U, Words, classes_of, key_number, key_numbers, key_of, linked, sketched, words_of
 
 #: Words of the shortest paragraph, or sub-paragraph, that counts as a passage.
@@ -122,9 +122,8 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "hash long, second long, doc_id long, start long, stop long")
 
 
-def _repeated_sub_paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, start, stop of sub-paragraphs that an earlier document has too."""
-    seen = _occurrences(docs)
+def _repeated_sub_paragraphs(seen: DataFrame) -> DataFrame:
+    """doc_id, start, stop of those occurrences that an earlier document has too."""
     groups = cut(seen.groupBy("hash").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.min_by("second", "doc_id").alias("home_second"), F.count(F.lit(1)).alias("n")).where("home < last").drop("last"))
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     wanted = bitmap(groups.select("hash"))
@@ -204,8 +203,10 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, report: bool = Fa
     other's passages. With report, columns doc_id, n_removed, removed (start:end, comma-joined, code
     points) and text are returned instead.
     """
-    spans = _repeated_sub_paragraphs(docs).unionByName(_repeated_paragraphs(docs, threshold))
+    seen, path = stored(_occurrences(docs))
+    spans = _repeated_sub_paragraphs(seen).unionByName(_repeated_paragraphs(docs, threshold))
     spans = cut(spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("_spans")))
+    discard(docs.sparkSession, path)
     wanted = bitmap(spans.select("doc_id"))
     columns, schema = docs.columns, docs.schema
     at = columns.index("doc_id")
