@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -74,8 +75,7 @@ class Shingler:
         if len(self.known) > KEEP_WORDS:
             self.known.clear()
         sizes = np.array([len(w) for w in texts], dtype=np.int64)
-        known = self.known
-        flat = np.fromiter((known[x] for w in texts for x in w), dtype=np.uint64, count=int(sizes.sum()))
+        flat = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(texts)), dtype=np.uint64, count=int(sizes.sum()))
         if not len(flat):
             return flat, sizes
         padded = np.concatenate([flat, np.zeros(SHINGLE, dtype=np.uint64)])
