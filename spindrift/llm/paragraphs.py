@@ -138,11 +138,13 @@ def _repeated_sub_paragraphs(seen: DataFrame) -> DataFrame:
 
 
 def _repeated_paragraphs(docs: DataFrame, threshold: float) -> DataFrame:
-    """doc_id, start, stop of paragraphs that are near copies of paragraphs of an earlier document."""
+    """doc_id, start, stop of paragraphs that are copies or near copies of paragraphs of an earlier document."""
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("text")).where(F.size(F.split(F.trim("text"), r"\s+")) >= LEAST_WORDS)
     classes = classes_of(sketched(lines, BANDS))
-    found = cut(linked(classes, lines, "doc_id", threshold).select("item", "label").join(classes.select("item", "key", "first", "copies"), "item"))
+    links = linked(classes, lines, "doc_id", threshold).select("item", "label")
+    known = classes.select("item", "key", "first", "copies").join(links, "item", "left").where("label IS NOT NULL OR copies > 1")
+    found = cut(known.withColumn("label", F.coalesce("label", "item")))
     heads = found.groupBy("label").agg(F.min("first").alias("home"), F.count(F.lit(1)).alias("n"))
     total = max(1, found.count())
     placed = cut(join_counted(found, heads, "label", "n", total, spread=F.xxhash64("item")).select("key", "home", "copies"))
