@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -55,6 +57,16 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release() -> None:
+    """Gives the free memory of this worker back to the system; workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Null texts count as empty."""
     return ["" if x is None else x for x in column.to_pylist()]
@@ -70,10 +82,13 @@ def regroup(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Itera
         held.append(batch)
         size += batch.column(batch.schema.get_field_index(column)).get_total_buffer_size() if batch.num_rows else 0
         if size >= limit:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
+            whole, held, size = pa.Table.from_batches(held), [], 0
+            yield whole
+            del whole
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    release()
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

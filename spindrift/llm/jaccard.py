@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import bitmap, components, cut, in_bitmap, join_counted, may_be_in, ranges, regroup, strings
+from spindrift.llm.common import bitmap, components, cut, in_bitmap, join_counted, may_be_in, ranges, regroup, release, strings
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -38,8 +38,8 @@ GROUP_BLOCK = 512
 #: Shingles of a block.
 GROUP_SHINGLES = 1_000_000
 PAIRS_AT_ONCE = 1 << 20
-CHUNK_BYTES = 4 << 20
-KEEP_WORDS = 500_000
+CHUNK_BYTES = 2 << 20
+KEEP_WORDS = 120_000
 
 U = np.uint64
 
@@ -270,6 +270,7 @@ def _bucket_links(members: DataFrame, threshold: float) -> DataFrame:
                     yield flush()
         if held:
             yield flush()
+        release()
 
     met = meetings(members, "bucket", F.ceil(F.col("n") / BUCKET_BLOCK))
     met = met.select("bucket", "low", "high", "block", "item", "signature").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
@@ -330,7 +331,10 @@ def _group_links(groups: DataFrame, threshold: float) -> DataFrame:
             for a, b in zip(ids[x].tolist(), ids[y].tolist(), strict=True):
                 union.join(a, b)
             touched = np.flatnonzero(links)
+            del t, flat, sets
             yield pa.RecordBatch.from_arrays([pa.array(ids[touched]), pa.array([union.root(a) for a in ids[touched].tolist()], pa.int64()), pa.array(links[touched])], names=["item", "root", "links"])
+        del shingler
+        release()
 
     return groups.mapInArrow(run, "item long, root long, links long")
 

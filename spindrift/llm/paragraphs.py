@@ -33,7 +33,7 @@ SNAP_WORDS = 16
 #: At similarity 0.8 two paragraphs collide with probability 0.997, at 0.9 with 0.99999.
 BANDS = Bands(bands=8, rows=3)
 CHUNK_BYTES = 2 << 20
-KEEP_WORDS = 500_000
+KEEP_WORDS = 120_000
 
 WORD = re.compile(r"\S+")
 STOPS = (".", "!", "?", ":", '"', "…", "。")
