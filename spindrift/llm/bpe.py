@@ -29,9 +29,9 @@ from spindrift.llm.common import ranges, regroup, strings
 #: The split of text before merges, as byte-level BPE vocabularies publish it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text that are encoded together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Different space-separated chunks that are kept with their ids before the memory is emptied.
-KEEP_CHUNKS = 400_000
+KEEP_CHUNKS = 200_000
 #: Bytes of a word from which the index is kept as lists.
 LONG = 160
 #: Below this many positions a merge runs position by position, above it as array operations.
