@@ -5,9 +5,10 @@ colliding paragraphs are joined, verified by exact Jaccard similarity, and clust
 components. Each cluster keeps the paragraphs of its smallest document.
 
 A passage may also stand inside longer paragraphs. So paragraphs have sub-paragraphs: runs of WINDOW
-words that begin where a sentence begins or, where there is none near, at words chosen by their hash.
-The choice depends on the words alone, so a repeated passage has the same sub-paragraphs wherever it
-stands. These are short, and collide and are verified by their hashes over all words.
+words. Anchors are those that begin with a capital or a line and, of RUN neighbouring ones without a
+capital, that of the least hash. The words of the run alone decide, so any passage of WINDOW + RUN - 1
+words has an anchor in common wherever it stands; shorter ones are found by capitals and lines. Around anchors that several documents have, all sub-paragraphs are
+compared by their hashes over all words, so that a passage goes in its full length.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.common import bitmap, cut, discard, in_bitmap, join_counted, may_be_in, regroup, stored, strings
@@ -26,8 +27,8 @@ from spindrift.llm.jaccard import THRESHOLD, Bands, U, Words, classes_of, key_nu
 #: Words of the shortest paragraph, or sub-paragraph, that counts as a passage.
 LEAST_WORDS = 24
 WINDOW = 24
-#: Where no sentence begins within NEAR words, one word in SPARSE begins a sub-paragraph.
-NEAR, SPARSE = 8, 8
+#: Of so many neighbouring sub-paragraphs at least one is an anchor.
+RUN = 12
 #: Words by which a removal is extended to the end of its sentence.
 SNAP_WORDS = 16
 #: At similarity 0.8 two paragraphs collide with probability 0.997, at 0.9 with 0.99999.
@@ -65,10 +66,49 @@ def _starts(text: str, own: list[str], sizes: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def sub_paragraphs(texts: list[str], words: Openers) -> tuple[np.ndarray, ...]:
-    """For all texts: number of the text, first and last character, hash and second hash of each sub-paragraph."""
-    hashes, starts, ends, lines, sizes = [], [], [], [], []
-    for text in texts:
+def _windows(h: np.ndarray, factor: U) -> np.ndarray:
+    """Hashes of the WINDOW words from each word on, by doubling."""
+
+    def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = (a * factor) ^ (b + (a >> U(32)))
+        x *= U(0x9E3779B97F4A7C15)
+        return x ^ (x >> U(29))
+
+    done, long, power, size = None, 0, h, 1
+    while True:
+        if WINDOW & size:
+            n = len(h) - long - size + 1
+            done = power if done is None else both(power[:n], done[size : size + n])
+            long += size
+        if 2 * size > WINDOW:
+            return done
+        power = both(power[:-size], power[size:])
+        size *= 2
+
+
+def _least_of_runs(values: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Whether a value is the least, and the first of equal ones, of RUN in a row; left counts the values to the end of the text."""
+    out = np.zeros(len(values), dtype=bool)
+    if len(values) < RUN:
+        return out
+    least, at, size = values, np.arange(len(values)), 1
+    while size < RUN:
+        step = min(size, RUN - size)
+        later = least[step:] < least[:-step]
+        least, at = np.where(later, least[step:], least[:-step]), np.where(later, at[step:], at[:-step])
+        size += step
+    out[at[left[: len(at)] >= RUN]] = True
+    return out
+
+
+def sub_paragraphs(texts: list[str], words: Openers, near: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """For all texts: number of the text, first and last character, hash and second hash of each anchor.
+
+    With near, characters at which anchors of each text begin: of all sub-paragraphs that begin less than
+    RUN words from them.
+    """
+    hashes, starts, ends, lines, sizes, marks = [], [], [], [], [], []
+    for k, text in enumerate(texts):
         own = text.split()
         if len(own) < WINDOW:
             sizes.append(0)
@@ -79,52 +119,55 @@ def sub_paragraphs(texts: list[str], words: Openers) -> tuple[np.ndarray, ...]:
         begin = _starts(text, own, long)
         starts.append(begin)
         ends.append(begin + long)
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        first = points[np.maximum(begin - 1, 0)] == 10
-        first[0] = True
-        lines.append(first)
+        if near is None:
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            first = points[np.maximum(begin - 1, 0)] == 10
+            first[0] = True
+            lines.append(first)
+        else:
+            at = np.searchsorted(begin, near[k])
+            n = len(own)
+            change = np.bincount(np.minimum(np.maximum(at - RUN + 1, 0), n), minlength=n + 1) - np.bincount(np.minimum(at + RUN, n), minlength=n + 1)
+            marks.append(np.cumsum(change[:n]) > 0)
     if not hashes:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty, empty, empty
     h = np.concatenate(hashes)
-    n = len(h)
+    n = len(h) - WINDOW + 1
     counts = np.array(sizes, dtype=np.int64)
     owner = np.repeat(np.arange(len(texts)), counts)
-    left = np.repeat(np.cumsum(counts), counts) - np.arange(n)  # words to the end of the text
-    opens = np.concatenate(lines) | (h & U(1)).astype(bool)
-    upto = np.r_[0, np.cumsum(opens)]
-    at = np.arange(n)
-    near = upto[np.minimum(at + NEAR + 1, n)] > upto[np.maximum(at - NEAR, 0)]
-    mixed = (h ^ (h >> U(31))) * U(0x9E3779B97F4A7C15)
-    anchor = (opens | ~near & ((mixed >> U(40)) % U(SPARSE) == 0)) & (left >= WINDOW)
-    place = np.flatnonzero(anchor)
-    one, two = np.zeros(len(place), dtype=np.uint64), np.zeros(len(place), dtype=np.uint64)
-    for i in range(WINDOW):
-        w = h[place + i]
-        one = (one ^ w) * U(0xBF58476D1CE4E5B9)
-        one ^= one >> U(29)
-        two = (two + w) * U(0x94D049BB133111EB)
-        two ^= two >> U(32)
+    left = (np.repeat(np.cumsum(counts), counts) - np.arange(len(h)) - WINDOW + 1)[:n]  # sub-paragraphs to the end of the text
+    one = _windows(h, U(0xBF58476D1CE4E5B9))
+    if near is None:
+        capital = h[:n] & U(1)
+        wanted = np.concatenate(lines)[:n] | capital.astype(bool) | _least_of_runs((one >> U(1)) | (capital ^ U(1)) << U(63), left)
+    else:
+        wanted = np.concatenate(marks)[:n]
+    place = np.flatnonzero(wanted & (left > 0))
+    two = _windows(h, U(0x94D049BB133111EB))
     begin, end = np.concatenate(starts), np.concatenate(ends)
-    return owner[place], begin[place], end[place + WINDOW - 1], one.view(np.int64), two.view(np.int64)
+    return owner[place], begin[place], end[place + WINDOW - 1], one[place].view(np.int64), two[place].view(np.int64)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
+def _anchors(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Openers()
         for t in regroup(batches, "text", CHUNK_BYTES):
             if len(words) > KEEP_WORDS:
                 words.clear()
-            owner, a, b, one, two = sub_paragraphs(strings(t.column(1)), words)
-            ids = t.column(0).to_numpy()[owner]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, two, ids, a, b)], names=["hash", "second", "doc_id", "start", "stop"])
+            owner, a, _, one, _ = sub_paragraphs(strings(t.column(1)), words)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, t.column(0).to_numpy()[owner], a)], names=["hash", "doc_id", "start"])
 
-    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "hash long, second long, doc_id long, start long, stop long")
+    return _rows(docs).mapInArrow(run, "hash long, doc_id long, start long")
 
 
-def _repeated_sub_paragraphs(seen: DataFrame) -> DataFrame:
-    """doc_id, start, stop of those occurrences that an earlier document has too."""
-    groups = cut(seen.groupBy("hash").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.min_by("second", "doc_id").alias("home_second"), F.count(F.lit(1)).alias("n")).where("home < last").drop("last"))
+def _shared(seen: DataFrame, *more: Column) -> DataFrame:
+    """seen with home, the smallest document with the hash, and more aggregates; null where no other document has the hash."""
+    groups = cut(seen.groupBy("hash").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"), *more).where("home < last").drop("last"))
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     wanted = bitmap(groups.select("hash"))
 
@@ -133,7 +176,36 @@ def _repeated_sub_paragraphs(seen: DataFrame) -> DataFrame:
             yield t.filter(pa.array(in_bitmap(wanted, t.column(0).to_numpy())))
 
     again = seen.mapInArrow(keep, seen.schema)
-    joined = join_counted(again, groups, "hash", "n", max(1, total), spread=F.xxhash64("doc_id", "start"))
+    return join_counted(again, groups, "hash", "n", max(1, total), spread=F.xxhash64("doc_id", "start"))
+
+
+def _occurrences(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """All sub-paragraphs near the anchors that several documents have."""
+    places = cut(_shared(anchors).where("home IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("start").alias("_near")))
+    wanted = bitmap(places.select("_doc"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            yield t.filter(pa.array(in_bitmap(wanted, t.column(0).to_numpy())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Openers()
+        for t in regroup(batches, "text", CHUNK_BYTES):
+            if len(words) > KEEP_WORDS:
+                words.clear()
+            near = [x.values.to_numpy() for x in t.column(2)]
+            owner, a, b, one, two = sub_paragraphs(strings(t.column(1)), words, near)
+            ids = t.column(0).to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, two, ids, a, b)], names=["hash", "second", "doc_id", "start", "stop"])
+
+    rows = _rows(docs)
+    touched = rows.mapInArrow(keep, rows.schema).join(places, F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "_near")
+    return touched.mapInArrow(run, "hash long, second long, doc_id long, start long, stop long")
+
+
+def _repeated_sub_paragraphs(seen: DataFrame) -> DataFrame:
+    """doc_id, start, stop of those occurrences that an earlier document has too."""
+    joined = _shared(seen, F.min_by("second", "doc_id").alias("home_second"))
     return joined.where((F.col("doc_id") > F.col("home")) & (F.col("second") == F.col("home_second"))).select("doc_id", "start", "stop")
 
 
@@ -205,7 +277,9 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, report: bool = Fa
     other's passages. With report, columns doc_id, n_removed, removed (start:end, comma-joined, code
     points) and text are returned instead.
     """
-    seen, path = stored(_occurrences(docs))
+    anchors, first = stored(_anchors(docs))
+    seen, path = stored(_occurrences(docs, anchors))
+    discard(docs.sparkSession, first)
     spans = _repeated_sub_paragraphs(seen).unionByName(_repeated_paragraphs(docs, threshold))
     spans = cut(spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("_spans")))
     discard(docs.sparkSession, path)

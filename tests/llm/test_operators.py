@@ -382,6 +382,27 @@ def test_starts_of_odd_white_space():
         assert len(a) and text[a[0] : b[0]].split() == prose(3, 30).split()[:24]
 
 
+@pytest.mark.parametrize("n", [35, 51])
+def test_passages_of_any_words_have_a_common_anchor(n):
+    words = paragraphs.Openers()
+    for seed in range(300):
+        passage = prose(seed, n)
+        texts = [f"{prose(1000 + seed, 40)} {passage} {prose(2000 + seed, 40)}", f"{prose(3000 + seed, 31)} Xy {passage} Yx {prose(4000 + seed, 33)}"]
+        owner, a, b, one, _ = paragraphs.sub_paragraphs(texts, words)
+        inside = [{h for o, x, y, h in zip(owner, a, b, one) if o == k and texts[k].index(passage) <= x and y <= texts[k].index(passage) + len(passage)} for k in (0, 1)]
+        assert inside[0] & inside[1]
+
+
+def test_passages_in_mid_sentence_go_whole(spark):
+    passages = [prose(i, 51) for i in range(40)]
+    texts = [f"{prose(100 + i, 30)} {p} {prose(200 + i, 30)}" for i, p in enumerate(passages)] + [f"{prose(300 + i, 33)} {p} {prose(400 + i, 29)}" for i, p in enumerate(passages)]
+    got = {r.doc_id: r for r in paragraphs.deduplicate(docs_of(spark, texts), report=True).collect()}
+    for i, p in enumerate(passages):
+        a = texts[40 + i].index(p)
+        assert got[i].n_removed == 0
+        assert any(x <= a and a + len(p) <= y for x, y in (map(int, s.split(":")) for s in got[40 + i].removed.split(",") if s))
+
+
 # -- 10 ------------------------------------------------------------------------
 
 
