@@ -8,7 +8,7 @@ A passage may also stand inside longer paragraphs. So paragraphs have sub-paragr
 words. Anchors are those that begin with a capital or a line and, of RUN neighbouring ones without a
 capital, that of the least hash. The words of the run alone decide, so any passage of WINDOW + RUN - 1
 words has an anchor in common wherever it stands; shorter ones are found by capitals and lines. Around anchors that several documents have, all sub-paragraphs are
-compared by their hashes over all words, so that a passage goes in its full length.
+compared by their hashes over all words, so that a passage goes in its full length and no word beyond it.
 """
 
 from __future__ import annotations
@@ -29,16 +29,12 @@ LEAST_WORDS = 24
 WINDOW = 24
 #: Of so many neighbouring sub-paragraphs at least one is an anchor.
 RUN = 12
-#: Words by which a removal is extended to the end of its sentence.
-SNAP_WORDS = 16
 #: At similarity 0.8 two paragraphs collide with probability 0.997, at 0.9 with 0.99999.
 BANDS = Bands(bands=8, rows=3)
 CHUNK_BYTES = 2 << 20
 KEEP_WORDS = 120_000
 
 WORD = re.compile(r"\S+")
-STOPS = (".", "!", "?", ":", '"', "…", "。")
-SENTENCE_END = re.compile(rf"(?:\S*\s+){{0,{SNAP_WORDS}}}?\S*[.!?…。](?=\s|\Z)|\S*(?=\n|\Z)")
 
 
 class Openers(Words):
@@ -241,11 +237,9 @@ def _repeated_paragraphs(docs: DataFrame, threshold: float) -> DataFrame:
 
 
 def merged(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order, those that touch joined, each extended to the end of its sentence or line."""
+    """Spans in order, those that touch joined; nothing outside them goes."""
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
-        m = SENTENCE_END.match(text, b) if b < len(text) and not text[b - 1 : b].endswith(STOPS) and text[b] != "\n" else None
-        b = max(b, m.end()) if m else b
         if out and not text[out[-1][1] : a].strip():
             out[-1] = (out[-1][0], max(out[-1][1], b))
         elif out and a <= out[-1][1]:

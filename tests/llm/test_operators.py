@@ -374,6 +374,14 @@ def test_passages_edges(spark):
     assert sum(r.n_removed for r in got) == 0 and len(got) == 12
 
 
+def test_words_after_a_shared_passage_stay(spark):
+    shared = "The " + " ".join(f"w{i}" for i in range(23))
+    own = " ".join(f"unique{i}" for i in range(15)) + "."
+    texts = [f"{shared} {prose(1, 15)}.", f"{shared} {own}", f"{prose(2, 30)} {prose(3, 60)} {prose(4, 10)}.", f"{prose(5, 30)} {prose(3, 60)} {prose(6, 10)}."]
+    got = {r.doc_id: r.text for r in paragraphs.deduplicate(docs_of(spark, texts), report=True).collect()}
+    assert got[1].strip() == own and got[3] == f"{prose(5, 30)} {prose(6, 10)}."
+
+
 def test_starts_of_odd_white_space():
     words = paragraphs.Openers()
     for gap in (" ", "  ", "\n", "\t \x1c", " "):
