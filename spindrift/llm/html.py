@@ -2,13 +2,16 @@
 
 Each page's containers are scored by the text that they hold without links and boilerplate. The pages of
 a host vote for the generalised tag and class paths of their best containers, and every page is then
-extracted with the winning path of its host, or with its own best container if it lacks that path.
+extracted with the winning path of its host, or with its own best container if it lacks that path. From
+there it climbs as long as what an ancestor adds (headline, lead, short sections beside the body) is no
+boilerplate: neither mostly links nor, as the pages of the host show, the same on all of them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -24,6 +27,8 @@ DECAY = 0.85
 #: Factor for containers whose tag or role says that they hold the article.
 SEMANTIC = 1.5
 CHUNK_BYTES = 8 << 20
+#: More levels than any page has.
+EVERY = 1 << 30
 
 #: Fixed values of the format: elements without content, with raw text, that end an open paragraph, and inline ones.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -218,15 +223,55 @@ def matching(root: Node, path: str) -> list[Node]:
     return level
 
 
-def extract(html: str, path: str | None) -> str:
-    """The main text of one page with the path of its host."""
+def beside(node: Node) -> list[tuple[str, str, bool]]:
+    """What the parent of a container adds to it: step, text and whether it is mostly links, of each part with text."""
+    out: list[tuple[str, str, bool]] = []
+    loose, linked, link = [], 0, False
+    for part in node.parent.parts:
+        if part is True or part is False:
+            link = part
+        elif isinstance(part, str):
+            loose.append(part)
+            linked += len(part) if link else 0
+        elif part is not node and (not part.noise or part.tag == "header"):
+            found = [b for b in blocks(part, True) if not part.noise or b[0].tag in HEADING]
+            if found:
+                rest = [(len(t), n) for b, t, n in found if b.tag not in HEADING]
+                out.append((part.step, "\n".join(t for _, t, _ in found), sum(n for _, n in rest) * 2 > sum(n for n, _ in rest)))
+    text = " ".join(unescape("".join(loose)).split())
+    if text:
+        out.append(("#", text, linked * 2 > len(text)))
+    return out
+
+
+def climbed(node: Node, most: int | None) -> Node:
+    """The widest ancestor, at most so many levels up, that adds no boilerplate; headers count only if the host's pages tell."""
+    up, level, best = node, 0, node
+    while up.tag != "body" and up.parent.tag not in ("#", "html") and (most is None or level < most):
+        added = beside(up)
+        if any(heavy or most is None and step.split(".")[0] == "header" for step, _, heavy in added):
+            break
+        up, level = up.parent, level + 1
+        if added:
+            best = up
+    return best
+
+
+def extract(html: str, path: str | None, climb: int | None = None) -> str:
+    """The main text of one page with the path of its host and the levels that its pages may climb."""
     root = parse(html)
-    nodes = matching(root, path) if path else []
-    text = "\n".join(t for n in nodes for _, t, _ in blocks(n, True))
-    if not text:
-        best = containers(root)
-        text = "\n".join(t for _, t, _ in blocks(best[0][1], True)) if best else "\n".join(t for _, t, _ in blocks(root))
-    return text
+    nodes = [n for n in (matching(root, path) if path else []) if blocks(n, True)]
+    if not nodes:
+        nodes, climb = [n for _, n in containers(root)[:1]], None
+    tops = {id(n): n for n in (climbed(n, climb) for n in nodes)}.values()
+    outer = [n for n in tops if not any(n is not m and within(n, m) for m in tops)]
+    return "\n".join(t for n in outer or [root] for _, t, _ in blocks(n, bool(outer)))
+
+
+def within(node: Node | None, top: Node) -> bool:
+    while node is not None and node is not top:
+        node = node.parent
+    return node is top
 
 
 def host() -> Column:
@@ -235,10 +280,23 @@ def host() -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":[0-9]*$", ""))
 
 
+VOTES = "host string, path string, level int, step string, vote double, own long, hash long"
+
+
+def _number(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def votes(pages: DataFrame) -> DataFrame:
-    """host, path, vote: up to BALLOTS containers of each page with their scores as shares of the best one's."""
+    """host, path, vote: up to BALLOTS containers of each page with their scores as shares of the best one's.
+
+    Level is 0; rows of higher levels have the parts (step) that the ancestor so many levels up adds to the
+    container, with hashes of the container's text and of the part's.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in VOTES.split(", ")]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.int64(), pa.int64())
         for t in regroup(batches, "html", CHUNK_BYTES):
             rows = []
             for host_name, html in zip(t.column("host").to_pylist(), strings(t.column("html")), strict=True):
@@ -248,17 +306,33 @@ def votes(pages: DataFrame) -> DataFrame:
                     path = node.path()
                     if s > 0 and path not in seen:
                         seen.add(path)
-                        rows.append((host_name, path, s / best[0][0]))
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], names=["host", "path", "vote"])
-
-    return pages.select(host().alias("host"), "html").mapInArrow(run, "host string, path string, vote double")
+                        rows.append((host_name, path, 0, "", s / best[0][0], 0, 0))
+                        up, level, own = node, 0, None
+                        while up.tag != "body" and up.parent.tag not in ("#", "html"):
+                            added, level = beside(up), level + 1
+                            if any(heavy for _, _, heavy in added):
+                                break
+                            if added and own is None:
+                                own = _number("\n".join(x for _, x, _ in blocks(node, True)))
+                            rows.extend((host_name, path, level, step, 0.0, own, _number(x)) for step, x, _ in added)
+                            up = up.parent
+            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return pages.select(host().alias("host"), "html").mapInArrow(run, VOTES)
 
 
 def consensus(pages: DataFrame) -> DataFrame:
-    """host, path and the number of votes of its pages; equal votes go to the first path in order of text."""
-    tally = votes(pages).groupBy("host", "path").agg(F.sum(F.round("vote", 6)).alias("votes"), F.count(F.lit(1)).alias("pages"))
-    return tally.groupBy("host").agg(F.min_by("path", F.struct(-F.round("votes", 3), F.col("path"))).alias("path"), F.sum("pages").alias("ballots"))
+    """host, path, the number of votes of its pages and the levels that they may climb (all: EVERY); equal votes go to the first path in order of text.
+
+    A level is boilerplate if a part of it is the same on pages whose containers differ, or a header that is not seen to differ.
+    """
+    same = F.min("hash") == F.max("hash")
+    boiler = same & ((F.min("own") != F.max("own")) | F.col("step").rlike(r"^header(\.|$)"))
+    parts = votes(pages).groupBy("host", "path", "level", "step").agg(F.sum(F.round("vote", 6)).alias("votes"), F.count_if(F.col("level") == 0).alias("pages"), boiler.alias("boiler"))
+    tally = parts.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"), F.coalesce(F.min(F.when(F.col("boiler") & (F.col("level") > 0), F.col("level") - 1)), F.lit(EVERY)).alias("climb"))
+    won = tally.groupBy("host").agg(F.min_by(F.struct("path", "climb"), F.struct(-F.round("votes", 3), F.col("path"))).alias("won"), F.sum("pages").alias("ballots"))
+    return won.select("host", "won.path", "ballots", "won.climb")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -275,7 +349,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in regroup(batches, "html", CHUNK_BYTES):
-            texts = [extract(h, p) for h, p in zip(strings(t.column("html")), t.column("path").to_pylist(), strict=True)]
+            texts = [extract(h, p, c) for h, p, c in zip(strings(t.column("html")), t.column("path").to_pylist(), t.column("climb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([t.column("page_id").combine_chunks().cast(pa.int64()), t.column("url").combine_chunks(), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "path").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "path", "climb").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -107,6 +107,22 @@ def test_host_paths_win_over_a_page(spark):
     assert [(r.host, r.path) for r in html.consensus(votes).collect()] == [("a.example", "html>body>div.layout-#>div.c#.post-body")]
 
 
+def test_headline_and_lead_beside_the_body_stay(spark):
+    page = "<body><div class=top>Our paper, since 1900</div><div class=wrap><div class=post><h1>Title {n} of forty characters or so</h1>{lead}<div class=body><p>{long}</p></div></div><div class=more><a href=x>other story</a></div></div></body>"
+    rows = [(i, f"http://{h}.example/{i}", page.format(n=i, lead=lead, long=prose(i, 400))) for i, (h, lead) in enumerate([("a", ""), ("a", ""), ("b", "<div class=lead>Lead</div>"), ("b", "<div class=lead>Lede</div>"), ("c", "")])]
+    main = "<body><main><h1>Title {n}</h1><div><div><div class=body>{long}</div></div></div></main></body>"
+    rows += [(i, "http://m.example/", main.format(n=i, long=prose(i, 400))) for i in (5, 6)]
+    slogan = "<body><div class=top>Our paper, since 1900</div><div class=body>{long}</div></body>"
+    rows += [(i, "http://s.example/", slogan.format(long=prose(i, 400))) for i in (7, 8)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i] == "\n".join([f"Title {i} of forty characters or so", *(["Lead", "Lede"][i - 2 : i - 1] if i in (2, 3) else []), prose(i, 400)])
+    for i in (5, 6):
+        assert got[i] == f"Title {i}\n{prose(i, 400)}"
+    for i in (7, 8):
+        assert got[i] == prose(i, 400)
+
+
 @pytest.mark.parametrize("broken", ["<", "<p", "</p>", "<div><div>", "<script>x", "<!-- x", "<a href='x>y</a> t", "<table><td>a<tr><td>b", "<div>" * 5000 + "x"])
 def test_broken_pages(broken):
     assert isinstance(html.extract(broken, "html>body"), str)
