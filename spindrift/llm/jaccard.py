@@ -404,6 +404,11 @@ def similarity_classes(docs: DataFrame, bands: Bands = Bands(), threshold: float
     null or has no words is linked to nothing and is a class of its own (class_id is its doc_id). Repeated
     rows count as copies of each other. Null ids are kept; a class of only null ids has a null class_id.
     """
+    return _keyed_classes(docs, bands, threshold).drop("key")
+
+
+def _keyed_classes(docs: DataFrame, bands: Bands, threshold: float) -> DataFrame:
+    """similarity_classes with the key of each text, null if it has no words."""
     sketches = cut(sketched(docs, bands))
     classes = classes_of(sketches)
     found = linked(classes, docs, "doc_id", threshold)
@@ -414,14 +419,31 @@ def similarity_classes(docs: DataFrame, bands: Bands = Bands(), threshold: float
     known = join_counted(known, heads, "label", "members", max(1, rows), spread=F.xxhash64("item"))
     per_key = known.select("key", "copies", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     joined = join_counted(sketches.select("doc_id", "key"), per_key, "key", "copies", max(1, rows), spread=F.unhex(F.hex(F.xxhash64("doc_id"))))
-    return joined.select("doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return joined.select("doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def first_of_each(docs: DataFrame, bands: Bands = Bands(), threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows of each class that do not have its smallest doc_id, and without repeated rows.
 
-    Texts without words and rows with null ids stay.
+    Texts without words and rows with null ids stay. Of several texts with one id, each goes or stays by
+    its own class.
     """
-    found = similarity_classes(docs, bands, threshold)
-    gone = found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("class_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    found = _keyed_classes(docs, bands, threshold).where(F.col("doc_id").isNotNull())
+    beaten = F.col("doc_id") != F.col("class_id")
+    each = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.when(beaten, F.col("key"))).alias("_gone"), F.bool_and(beaten).alias("_all"))
+    gone = cut(each.where(F.size("_gone") > 0))
+    split = gone.where(~F.col("_all"))  # ids of which some texts stay
+    kept = docs.join(gone.select("_doc"), F.col("doc_id") == F.col("_doc"), "left_anti")
+    if not split.isEmpty():
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in batches:
+                at = t.schema.get_field_index("text")
+                gone_keys = t.column(t.num_columns - 1).to_pylist()
+                stays = [key_of(words_of(x)) not in g for x, g in zip(strings(t.column(at)), gone_keys, strict=True)]
+                yield t.select(range(t.num_columns - 1)).filter(pa.array(stays, pa.bool_()))
+
+        mixed = docs.join(split.select("_doc", "_gone"), F.col("doc_id") == F.col("_doc")).select(*docs.columns, "_gone")
+        kept = kept.unionByName(mixed.mapInArrow(run, docs.schema))
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # null ids are no repeats
+    return kept.withColumn("_alone", alone).dropDuplicates(["doc_id", "text", "_alone"]).select(docs.columns)

@@ -176,6 +176,13 @@ def test_similarity_join_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and kept.columns[-1] == "label"
 
 
+def test_one_id_of_several_texts_and_null_ids(spark):
+    texts = ["a b c d e f", "a b c d e f", "clean other words of its own", "g h i j k l", "g h i j k l", "g h i j k l", None]
+    kept = jaccard.first_of_each(docs_of(spark, texts, [1, 2, 2, None, None, 4, 2]).withColumn("label", F.lit(1)))
+    want = [(1, "a b c d e f"), (2, "clean other words of its own"), (2, None), (4, "g h i j k l"), (None, "g h i j k l"), (None, "g h i j k l")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     assert jaccard.Bands().recall(0.8) > 0.9999
     r = np.random.default_rng(0)
