@@ -25,12 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which a cluster shares; one of our own only if it is unset."""
+    """The folder of spark.checkpoint.dir, which a cluster shares; one of our own only if it is unset and all runs in one process."""
     sc = spark.sparkContext
     set_to = sc.getConf().get("spark.checkpoint.dir")
     if not set_to:
         set_to = sc.getCheckpointDir()
         if not set_to:
+            if sc.master.partition("[")[0] != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             set_to = tempfile.mkdtemp(prefix="spindrift-")
             sc.setCheckpointDir(set_to)
     elif not sc.getCheckpointDir():
@@ -115,29 +117,40 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in others])
 
 
-#: Bits of a bitmap: 2 MB, whatever the input.
-BITMAP_BITS = 24
+#: Bits of a bitmap, as powers of two: the least, the most (16 MB), and how many more than values there are.
+BITMAP_LEAST, BITMAP_MOST, BITMAP_ROOM = 20, 27, 4
 
 
 def bitmap(numbers: DataFrame) -> np.ndarray:
-    """Bits for the values of the one long column of a table, folded to BITMAP_BITS.
+    """Bits for the values of the one long column of a table, folded to 16 bits a value, 16 MB at most.
 
-    A filter of fixed size: it lets through every value of the table and, the fuller it is, others too.
-    At most 2^BITMAP_BITS / 64 rows come to the driver.
+    A filter: it lets through every value of the table and some others, about 1 in 16, and more only
+    beyond 2^23 values; what passes is joined exactly afterwards. At most 2^BITMAP_MOST / 64 rows come to
+    the driver.
     """
     column = F.col(numbers.columns[0])
-    place = numbers.where(column.isNotNull()).select(F.pmod(column, F.lit(1 << BITMAP_BITS)).alias("at"))
+    held = numbers.where(column.isNotNull())
+    size = min(BITMAP_MOST, max(BITMAP_LEAST, int(held.count()).bit_length() + BITMAP_ROOM))
+    place = held.select(F.pmod(column, F.lit(1 << size)).alias("at"))
     words = place.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    out = np.zeros(1 << (size - 6), dtype=np.uint64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
 
 
 def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = values.astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+    at = values.astype(np.int64) & (64 * len(bits) - 1)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
+def free_name(name: str, *taken: list[str]) -> str:
+    """name, with underscores before it until it differs from all column names taken (in any case)."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def may_be_in(bits: np.ndarray, ids: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """in_bitmap for a column of ids; null ids always pass."""
     missing = ids.is_null().to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.is_null().to_numpy()

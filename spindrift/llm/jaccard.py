@@ -12,7 +12,6 @@ meeting returns per member its links and the smallest member that it is connecte
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 from collections.abc import Iterator
@@ -109,9 +108,14 @@ def key_number() -> Column:
     return F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long").alias("key_number")
 
 
-@functools.cache
+#: What permutations and least_matches have made. A plain dictionary, since it travels to the workers by value.
+MADE: dict[tuple, np.ndarray] = {}
+
+
 def permutations(n: int) -> np.ndarray:
-    return np.random.default_rng(5).integers(1, 1 << 63, n, dtype=np.uint64) * U(2) + U(1)
+    if ("permutations", n) not in MADE:
+        MADE["permutations", n] = np.random.default_rng(5).integers(1, 1 << 63, n, dtype=np.uint64) * U(2) + U(1)
+    return MADE["permutations", n]
 
 
 def min_hashes(flat: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
@@ -136,13 +140,15 @@ def band_hashes(values: np.ndarray, bands: Bands) -> np.ndarray:
     return h.view(np.int64)
 
 
-@functools.cache
 def least_matches(n: int, threshold: float, tolerance: float) -> np.ndarray:
     """For each number of compared values the fewest matches at which a pair is kept.
 
     Values are compared by their last 8 bits, so values of texts of similarity s match with probability
     s + (1 - s) / 256. The prior of s is uniform.
     """
+    known = ("least matches", n, threshold, tolerance)
+    if known in MADE:
+        return MADE[known]
     s = (np.arange(4000) + 0.5) / 4000
     p = s + (1 - s) / 256
     out = np.zeros(n + 1, dtype=np.int64)
@@ -156,6 +162,7 @@ def least_matches(n: int, threshold: float, tolerance: float) -> np.ndarray:
                 break
             low = m + 1
         out[seen] = low
+    MADE[known] = out
     return out
 
 

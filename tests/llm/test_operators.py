@@ -255,6 +255,16 @@ def test_revisits(spark, tmp_path):
     assert gzip.decompress(next((tmp_path / "w").glob("*.gz")).read_bytes()).startswith(b"WARC/1.1")
 
 
+def test_archives_of_few_or_no_pages(spark):
+    schema = "page_id long, url string, html string, digest string, original string"
+    assert warc.deduplicate(spark.createDataFrame([], schema)).count() == 0
+    one = warc.deduplicate(spark.createDataFrame([(8, None, "x" * 3_000_000, "a", "b")], schema)).collect()
+    assert [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in one] == [(8, 3_000_000, "response", None)]
+    spread = spark.createDataFrame([(i, "u", f"page {i % 5}", "a", "b") for i in range(20)] + [(None, "u", "none", "a", "b")] * 2, schema).repartition(40)
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc.deduplicate(spread).collect()}
+    assert got == {(i, "response" if i < 5 else "revisit", None if i < 5 else i % 5) for i in range(20)} | {(None, "response", None)}
+
+
 def test_small_payloads_stay_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     assert {r.page_id: r.record_type for r in warc.deduplicate(pages, least_bytes=3).collect()} == {1: "response", 2: "response", 3: "response", 4: "revisit"}
