@@ -1,20 +1,16 @@
 """Byte-level BPE by a pair occurrence index.
 
-Each batch of different words is one array of symbols, and the index says for each position the rank of
-the pair that begins there, hence for each rank all its positions. Ranks are applied in ascending
-order, each at all its positions, and only the entries beside a merge are looked up again. The pairs
-that a merge makes have higher ranks than it.
-
-Words do not touch each other, so one array step applies the lowest active rank of every short word
-at once. Long words (unbroken strings) have the index as lists of positions by rank under a heap, with
-links between neighbours; there the work follows the number of merges, whatever the length.
+The different words of a batch are laid end to end, with links between neighbouring symbols. The index maps
+each pair, by its rank, to all places where it occurs. Ranks are applied in ascending order: the index is
+walked from its lowest bucket of ranks to its highest, and within a bucket every word has its lowest rank
+applied at all its places at once, since words do not touch each other. Only the entries beside a merge are
+looked up again and filed under their new ranks, which are higher than that of the merge. So the work
+follows the number of occurrences, whatever the length of the words.
 """
 
 from __future__ import annotations
 
-import array
 import hashlib
-import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -32,10 +28,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 CHUNK_BYTES = 4 << 20
 #: Different space-separated chunks that are kept with their ids before the memory is emptied.
 KEEP_CHUNKS = 200_000
-#: Bytes of a word from which the index is kept as lists.
-LONG = 160
-#: Below this many positions a merge runs position by position, above it as array operations.
-SMALL = 24
+#: Buckets of ranks in the index, at least; where a word has more than 64 times as many symbols, one per 64 of them.
+BUCKETS = 32
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -48,13 +42,15 @@ def byte_letters() -> dict[int, str]:
 
 
 class Known(dict):
-    """Numbers chunks of text by first sight; new ones go to the list `new`."""
+    """Numbers chunks of text by first sight, from one count with others; new ones go to the list `new` with the lead that all have."""
 
-    new: list[str]
+    def __init__(self, lead: str, new: list[tuple[str, str]]):
+        self.lead, self.new = lead, new
+        self.first = 0
 
     def __missing__(self, chunk: str) -> int:
-        i = self[chunk] = len(self)
-        self.new.append(chunk)
+        i = self[chunk] = self.first + len(self.new)
+        self.new.append((self.lead, chunk))
         return i
 
 
@@ -83,16 +79,20 @@ class Bpe:
             right.append(vocab[b])
             into.append(vocab[a + b])
             self.rank_of.setdefault(left[-1] * n + right[-1], len(left) - 1)
-        self.left, self.right, self.into = left, right, into
+        self.into = into
         self.into_of = np.array(into, dtype=np.int32)
         self._hash(np.array(list(self.rank_of), dtype=np.int64), np.array(list(self.rank_of.values()), dtype=np.int32))
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.split = regex.compile(SPLIT.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.known = Known()
+        self.new: list[tuple[str, str]] = []
+        #: Chunks as they are, and chunks after a space, which is left out.
+        self.known, self.spaced = Known("", self.new), Known(" ", self.new)
         self._reset()
 
     def _reset(self) -> None:
-        self.known.clear()
+        for known in (self.known, self.spaced):
+            known.clear()
+            known.first = 0
         self.tokens = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
@@ -129,161 +129,99 @@ class Bpe:
 
     def merge(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Applies all merges to words laid end to end; ends[i] is where word i stops. Returns tokens and their count per word."""
+        n, none = len(symbols), len(self.into)
         sizes = np.diff(np.r_[0, ends])
-        long = sizes > LONG
-        if not long.any():
-            return self._merge_short(symbols, sizes)
-        in_long = np.repeat(long, sizes)
-        short_tokens, short_counts = self._merge_short(symbols[~in_long], sizes[~long])
-        long_tokens, long_counts = self._merge_long(symbols[in_long], np.cumsum(sizes[long]))
-        counts = np.empty(len(sizes), dtype=np.int64)
-        counts[long], counts[~long] = long_counts, short_counts
-        tokens = np.empty(int(counts.sum()), dtype=np.int32)
-        of_long = np.repeat(long, counts)
-        tokens[of_long], tokens[~of_long] = long_tokens, short_tokens
-        return tokens, counts
-
-    def _merge_short(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each step applies the lowest active rank of every word at all its positions."""
-        none = np.int32(len(self.into) + 1)
-        ids, word = symbols.astype(np.int32), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        index = np.full(len(ids), none, dtype=np.int32)
-        inner = np.flatnonzero(word[1:] == word[:-1])
-        found = self._ranks(ids[inner], ids[inner + 1])
-        index[inner] = np.where(found < 0, none, found)
-        while len(ids):
-            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            lengths = np.diff(np.r_[starts, len(ids)])
-            lowest = np.minimum.reduceat(index, starts)
-            active = lowest < none
-            if not active.all():
-                keep = np.repeat(active, lengths)
-                done.append((word[~keep], ids[~keep]))
-                ids, word, index = ids[keep], word[keep], index[keep]
-                lengths, lowest = lengths[active], lowest[active]
-                if not len(ids):
-                    break
-            at = np.flatnonzero(index == np.repeat(lowest, lengths))
-            touching = at[1:] == at[:-1] + 1
-            if touching.any():  # of a run of equal symbols every other place, from the left
-                i = np.arange(len(at))
-                first = np.maximum.accumulate(np.where(np.r_[False, touching], 0, i))
-                at = at[(i - first) % 2 == 0]
-            ids[at] = self.into_of[index[at]]
-            stays = np.ones(len(ids), dtype=bool)
-            stays[at + 1] = False
-            at -= np.arange(len(at))  # where it is once the right halves are gone
-            ids, word, index = ids[stays], word[stays], index[stays]
-            near = np.concatenate([at, at[at > 0] - 1])
-            last = near == len(ids) - 1
-            right = np.where(last, near, near + 1)
-            pair = ~last & (word[near] == word[right])
-            index[near] = none
-            near, right = near[pair], right[pair]
-            found = self._ranks(ids[near], ids[right])
-            index[near] = np.where(found < 0, none, found)
-        if not done:
-            return np.zeros(0, dtype=np.int32), np.zeros(len(sizes), dtype=np.int64)
-        words, tokens = (np.concatenate(x) for x in zip(*done, strict=True))
-        return tokens[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(sizes)).astype(np.int64)
-
-    def _merge_long(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same with lists of positions by rank and links between neighbours."""
-        n = len(symbols)
-        ids_a = array.array("i", symbols.astype(np.int32).tobytes())
-        nxt_a = array.array("i", np.arange(1, n + 1, dtype=np.int32).tobytes())
-        prv_a = array.array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
         if not n:
-            return np.zeros(0, dtype=np.int32), np.zeros(len(ends), dtype=np.int64)
-        ids, nxt, prv = (np.frombuffer(x, dtype=np.int32) for x in (ids_a, nxt_a, prv_a))
-        nxt[ends - 1] = -1
-        firsts = ends[:-1]
-        prv[firsts[firsts < n]] = -1
-        index: dict[int, list[int]] = {}
-        at = np.flatnonzero(nxt >= 0)
+            return np.zeros(0, dtype=np.int32), np.zeros(len(sizes), dtype=np.int64)
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        ids = np.r_[symbols, 0].astype(np.int32)  # the last place stands for none
+        nxt, prv = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        full = ends[sizes > 0]
+        nxt[full - 1] = n
+        prv[np.r_[0, full[:-1]]] = n
+        pair = np.full(n + 1, none, dtype=np.int32)  # the rank of the pair that begins at each place
+        at = np.flatnonzero(nxt[:n] < n)
         found = self._ranks(ids[at], ids[at + 1])
-        at, found = at[found >= 0], found[found >= 0]
-        order = np.argsort(found, kind="stable")
-        at, found = at[order], found[order]
-        cuts = np.flatnonzero(np.diff(found)) + 1
-        for r, part in zip(found[np.r_[0, cuts]].tolist() if len(found) else [], np.split(at, cuts), strict=False):
-            index[r] = part.tolist()
-        heap = list(index)
-        heapq.heapify(heap)
-        rank_of, base = self.rank_of, self.base
-        while heap:
-            r = heapq.heappop(heap)
-            places = index.pop(r)
-            a, b, m = self.left[r], self.right[r], self.into[r]
-            if len(places) < SMALL:
-                places.sort()
-                for p in places:
-                    if ids_a[p] != a:
-                        continue
-                    q = nxt_a[p]
-                    if q < 0 or ids_a[q] != b:
-                        continue
-                    after, before = nxt_a[q], prv_a[p]
-                    ids_a[p], ids_a[q], nxt_a[p] = m, -1, after
-                    if after >= 0:
-                        prv_a[after] = p
-                        k = rank_of.get(m * base + ids_a[after])
-                        if k is not None:
-                            if k in index:
-                                index[k].append(p)
-                            else:
-                                index[k] = [p]
-                                heapq.heappush(heap, k)
-                    if before >= 0:
-                        k = rank_of.get(ids_a[before] * base + m)
-                        if k is not None:
-                            if k in index:
-                                index[k].append(before)
-                            else:
-                                index[k] = [before]
-                                heapq.heappush(heap, k)
+        pair[at] = np.where(found < 0, none, found)
+        buckets = min(none, max(BUCKETS, int(sizes.max()) // 64))
+        width = -(-none // max(1, buckets))
+        index: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(buckets)]
+
+        def file(places: np.ndarray, ranks: np.ndarray, least: int) -> None:
+            """Puts places under their ranks' buckets, from bucket `least` on."""
+            if not len(places):
+                return
+            bucket = np.maximum(ranks // width, least)
+            order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.int32), kind="stable")
+            bucket, places, ranks = bucket[order], places[order], ranks[order]
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+                index[bucket[a]].append((places[a:b], ranks[a:b]))
+
+        at = at[found >= 0].astype(np.int32)
+        file(at, pair[at], 0)
+        lowest = np.full(len(sizes), none, dtype=np.int32)
+        chosen = np.zeros(n + 1, dtype=bool)
+        for k in range(buckets):
+            if not index[k]:
                 continue
-            p = np.array(sorted(set(places)), dtype=np.int32)
-            q = nxt[p]
-            p = p[(ids[p] == a) & (q >= 0) & (ids[q] == b)]
-            if not len(p):
-                continue
-            if a == b:  # of a run of equal symbols every other place, from the left
-                follows = np.r_[False, nxt[p[:-1]] == p[1:]]
-                i = np.arange(len(p))
-                first = np.maximum.accumulate(np.where(follows, 0, i))
-                p = p[(i - first) % 2 == 0]
-            q = nxt[p]
-            after, before = nxt[q], prv[p]
-            ids[p], ids[q], nxt[p] = m, -1, after
-            has = after >= 0
-            prv[after[has]] = p[has]
-            near = np.r_[p[has], prv[p][prv[p] >= 0]]
-            k = self._ranks(ids[near], ids[nxt[near]])
-            near, k = near[k >= 0], k[k >= 0]
-            for where, rank in zip(near.tolist(), k.tolist(), strict=True):
-                if rank in index:
-                    index[rank].append(where)
-                else:
-                    index[rank] = [where]
-                    heapq.heappush(heap, rank)
-        alive = ids >= 0
+            places, ranks = (np.concatenate(x) for x in zip(*index[k], strict=True))
+            index[k] = []
+            later: list[tuple[np.ndarray, np.ndarray]] = []
+            while True:
+                live = pair[places] == ranks
+                places, ranks = places[live], ranks[live]
+                if not len(places):
+                    break
+                own = word[places]
+                np.minimum.at(lowest, own, ranks)
+                first = lowest[own] == ranks
+                lowest[own] = none
+                at, rank = places[first], ranks[first]
+                twin = ids[at] == ids[nxt[at]]
+                if twin.any():  # of a run of equal symbols every other place, from the left
+                    order = np.argsort(at[twin], kind="stable")
+                    run = at[twin][order]
+                    i = np.arange(len(run))
+                    begins = np.maximum.accumulate(np.where(np.r_[False, nxt[run[:-1]] == run[1:]], 0, i))
+                    odd = (i - begins) % 2 == 1
+                    at, rank = np.concatenate([at[~twin], run[~odd]]), np.concatenate([rank[~twin], rank[twin][order][~odd]])
+                right = nxt[at]
+                after, before = nxt[right], prv[at]
+                ids[at] = self.into_of[rank]
+                ids[right] = -1
+                pair[right] = none
+                nxt[at] = after
+                prv[after] = at
+                chosen[at] = True
+                before = before[(before < n) & ~chosen[before]]
+                chosen[at] = False
+                pair[at] = none
+                near = np.concatenate([at[after < n], before])
+                found = self._ranks(ids[near], ids[nxt[near]])
+                pair[near] = np.where(found < 0, none, found)
+                near, found = near[found >= 0], found[found >= 0].astype(np.int32)
+                here = found < (k + 1) * width
+                later.append((near[~here], found[~here]))
+                places, ranks = np.concatenate([places[~first], near[here]]), np.concatenate([ranks[~first], found[here]])
+            if later:
+                file(*(np.concatenate(x) for x in zip(*later, strict=True)), k + 1)
+        alive = ids[:n] >= 0
         upto = np.r_[0, np.cumsum(alive)]
-        return ids[alive].copy(), np.diff(upto[np.r_[0, ends]])
+        return ids[:n][alive], np.diff(upto[np.r_[0, ends]])
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encodes chunks that are not known yet and appends their ids."""
-        pieces, per = [], np.empty(len(chunks), dtype=np.int64)
-        for i, c in enumerate(chunks):
-            if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()):
+    def _learn(self) -> None:
+        """Encodes the chunks that are new and appends their ids."""
+        pieces, per = [], np.empty(len(self.new), dtype=np.int64)
+        for i, (lead, c) in enumerate(self.new):
+            if c.isalpha():
                 per[i] = 1
-                pieces.append(c)
-            elif c[-1] in ".,;:!?" and c[1:-1].isalpha() and (c[0] == " " or c[0].isalpha()):
+                pieces.append(lead + c)
+            elif c[-1] in ".,;:!?" and c[:-1].isalpha():
                 per[i] = 2
-                pieces += (c[:-1], c[-1])
+                pieces += (lead + c[:-1], c[-1])
             else:
-                own = self.split.findall(c)
+                own = self.split.findall(lead + c)
                 per[i] = len(own)
                 pieces += own
         raw = [x.encode() for x in pieces]
@@ -293,6 +231,8 @@ class Bpe:
         self.starts = np.concatenate([self.starts, upto[:-1] + len(self.tokens)])
         self.lengths = np.concatenate([self.lengths, np.diff(upto)])
         self.tokens = np.concatenate([self.tokens, tokens])
+        self.new.clear()
+        self.known.first = self.spaced.first = len(self.starts)
 
     def _chunks(self, text: str) -> list[str]:
         """Pieces at whose borders no token crosses: a border stands before each space that a non-space follows."""
@@ -309,10 +249,9 @@ class Bpe:
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids begin; one more entry than texts."""
-        if len(self.known) > KEEP_CHUNKS:
+        if len(self.starts) > KEEP_CHUNKS:
             self._reset()
-        known, walk, counts = self.known, [], []
-        known.new = new = []
+        walk, counts = [], []
         specials: list[tuple[int, int]] = []
         for text in texts:
             before = len(walk)
@@ -322,12 +261,12 @@ class Bpe:
                         specials.append((len(walk), self.special[part]))
                         walk.append(-1)
                     elif part:
-                        walk += map(known.__getitem__, self._pieces(part))
+                        self._walk(part, walk)
             elif text:
-                walk += map(known.__getitem__, self._pieces(text))
+                self._walk(text, walk)
             counts.append(len(walk) - before)
-        if new:
-            self._learn(new)
+        if self.new:
+            self._learn()
         at = np.array(walk, dtype=np.int64)
         if specials:
             where = np.array([w for w, _ in specials])
@@ -344,11 +283,16 @@ class Bpe:
         bounds = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(np.array(counts, dtype=np.int64))]]
         return ids, bounds
 
-    def _pieces(self, text: str) -> list[str]:
+    def _walk(self, text: str, walk: list[int]) -> None:
+        """Appends the numbers of a text's chunks."""
         if ODD_SPACE.search(text):
-            return self._chunks(text)
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
+            walk += map(self.known.__getitem__, self._chunks(text))
+            return
+        words = text.split(" ")
+        first = words.pop(0) if words else ""
+        if first:
+            walk.append(self.known[first])
+        walk += map(self.spaced.__getitem__, words)
 
     def decode(self, ids: np.ndarray) -> str:
         table = self.token_bytes
