@@ -1,9 +1,11 @@
 """Best-fit packing of documents into token sequences, in rounds up a tree.
 
 Each partition packs its own pieces by best fit, longest first, and emits its nearly full bins. After
-best fit all bins of a partition but one are over half full, so of what is left at most that one can be
-put whole into another bin. It climbs the tree together with the emptiest bins that could take one; the
-others are final. At each node of the tree the bins that arrive are items of another best-fit round.
+best fit all bins of a node but one are over half full, and of two bins that can be joined one is at most
+half full. So at a node of the tree as many bins as it has children can be put into others. That one
+climbs with as many of the node's emptiest bins, which take whatever a fuller bin could; the others are
+final, since more receivers would join no more bins. The bins that arrive at a node are items of another
+best-fit round.
 """
 
 from __future__ import annotations
@@ -24,8 +26,6 @@ from spindrift.llm.common import cut, regroup, strings
 PACK_PIECES = 200_000
 #: A bin with at most so much room is emitted.
 NEARLY_FULL = 8
-#: Bins with room that climb the tree from each node, besides those at most half full.
-RECEIVERS = 15
 #: Nodes that meet at their parent.
 FAN = 16
 
@@ -57,10 +57,10 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def climbing(fills: list[int], capacity: int) -> list[int]:
-    """The bins that go on to the next round."""
+    """The bins that go on to the next round: those at most half full, and one receiver for each child that may send such a bin."""
     open_bins = sorted((b for b in range(len(fills)) if capacity - fills[b] > NEARLY_FULL), key=lambda b: fills[b])
     small = sum(2 * fills[b] <= capacity for b in open_bins)
-    return open_bins[: small + RECEIVERS]
+    return open_bins[: small + FAN]
 
 
 def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -134,8 +134,9 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
     """One row per piece of a document: where it begins, its length and checksum, its sequence and its place there.
 
     A document is the ids of its text and end_id. Only documents over the capacity are cut, into full
-    pieces but for the first. A null or empty text is end_id alone; null ids and repeated rows are packed
-    like others; an empty table gives no rows. Only columns doc_id and text are read.
+    pieces but for the first. A null or empty text is end_id alone; a very long one is many full pieces;
+    pieces of equal length go in the order of their rows; null ids and repeated rows are packed like others;
+    an empty table gives no rows. Only columns doc_id and text are read, so others may have any names.
     """
     pieces = cut(_pieces(docs, vocabulary, end_id, capacity))
     bins = pieces.where("node IS NOT NULL").groupBy("bin").agg(F.first("node").alias("node"), F.first("fill").alias("fill"))
