@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import bitmap, components, cut, in_bitmap, join_counted, may_be_in, ranges, regroup, release, strings
+from spindrift.llm.common import bitmap, components, cut, discard, in_bitmap, join_counted, may_be_in, ranges, regroup, release, stored, strings
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -108,6 +108,17 @@ def key_number() -> Column:
     return F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long").alias("key_number")
 
 
+def pair_number(id_column: str) -> Column:
+    """A number for the pair of column key and an id."""
+    id_ = F.col(id_column).cast("long")
+    return key_number().bitwiseXOR(F.shiftleft(id_, 17)).bitwiseXOR(id_).alias("pair_number")
+
+
+def pair_numbers(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """pair_number for arrays of key numbers and ids."""
+    return numbers ^ (ids << 17) ^ ids
+
+
 #: What permutations and least_matches have made. A plain dictionary, since it travels to the workers by value.
 MADE: dict[tuple, np.ndarray] = {}
 
@@ -363,16 +374,42 @@ def sketched(docs: DataFrame, bands: Bands, id_column: str = "doc_id") -> DataFr
     return docs.select(id_column, "text").mapInArrow(run, "doc_id long, key binary, signature binary, bands array<long>, n long")
 
 
-def classes_of(sketches: DataFrame) -> DataFrame:
-    """One row per class of equal texts: item, key, first (smallest doc_id), copies, signature, bands, n."""
+def classes_of(sketches: DataFrame) -> tuple[DataFrame, str]:
+    """One row per class of equal texts: item, key, first (smallest doc_id), copies, signature, bands, n; and where they are stored."""
     one = sketches.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("n").alias("n"))
-    return cut(one.withColumn("item", F.monotonically_increasing_id()))
+    return stored(one.withColumn("item", F.monotonically_increasing_id()))
+
+
+def texts_of(docs: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A fetch for linked(): the texts (key, text) of classes from docs, of each class that of its first document."""
+
+    def fetch(groups: DataFrame) -> DataFrame:
+        wanted, wanted_docs = bitmap(groups.select(pair_number("first"))), bitmap(groups.select("first"))
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: set[bytes] = set()
+            for t in batches:
+                t = t.filter(pa.array(may_be_in(wanted_docs, t.column(0))))
+                texts, ids = strings(t.column(1)), t.column(0).fill_null(0).to_numpy()
+                keys = [key_of(words_of(x)) for x in texts]
+                met = in_bitmap(wanted, pair_numbers(key_numbers(keys), ids)) | t.column(0).is_null().to_numpy(zero_copy_only=False)
+                out = {}
+                for i in np.flatnonzero(met).tolist():
+                    if keys[i] not in done:
+                        done.add(keys[i])
+                        out[keys[i]] = texts[i]
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.string())], names=["key", "text"])
+
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "key binary, text string")
+
+    return fetch
 
-def linked(classes: DataFrame, texts: DataFrame, id_column: str, threshold: float = THRESHOLD) -> DataFrame:
+
+def linked(classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], threshold: float = THRESHOLD) -> DataFrame:
     """item, label, links for the classes that have a link: label is the smallest item of the connected component.
 
-    texts: the rows (id_column, text) from which the classes were made.
+    fetch gives the text (key, text) of each class of a table with columns key and first, at most once from
+    each of its tasks.
     """
     placed = classes.select("item", F.explode("bands").alias("bucket"))
     sizes = cut(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
@@ -382,16 +419,7 @@ def linked(classes: DataFrame, texts: DataFrame, id_column: str, threshold: floa
     candidates = cut(components(_bucket_links(members, threshold)))
     extent = classes.select(F.col("item").alias("node"), "first", "key", "copies", "signature", F.col("n").alias("n_shingles"))
     groups = cut(candidates.join(extent, "node").withColumnRenamed("node", "item"))
-    wanted, wanted_keys = bitmap(groups.select("first")), bitmap(groups.select(key_number()))
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            texts = strings(t.column(1).filter(pa.array(may_be_in(wanted, t.column(0)))))
-            keys = [key_of(words_of(x)) for x in texts]
-            mask = in_bitmap(wanted_keys, key_numbers(keys)).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, m in zip(keys, mask, strict=True) if m], pa.binary()), pa.array([x for x, m in zip(texts, mask, strict=True) if m], pa.string())], names=["key", "text"])
-
-    fetched = texts.select(F.col(id_column).cast("long").alias("doc_id"), "text").mapInArrow(fetch, "key binary, text string")
+    fetched = fetch(groups)
     extents = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("n_all"))
     whole = join_counted(groups, extents, "label", "members", max(1, total), spread=F.xxhash64("item"))
     met = meetings(whole.join(fetched, "key"), "label", F.greatest(F.ceil(F.col("members") / GROUP_BLOCK), F.ceil(F.col("n_all") / GROUP_SHINGLES)))
@@ -417,10 +445,11 @@ def similarity_classes(docs: DataFrame, bands: Bands = Bands(), threshold: float
 def _keyed_classes(docs: DataFrame, bands: Bands, threshold: float) -> DataFrame:
     """similarity_classes with the key of each text, null if it has no words."""
     sketches = cut(sketched(docs, bands))
-    classes = classes_of(sketches)
-    found = linked(classes, docs, "doc_id", threshold)
+    classes, path = classes_of(sketches)
+    found = linked(classes, texts_of(docs), threshold)
     known = classes.select("item", "key", "first", "copies").join(found, "item", "left").withColumn("label", F.coalesce("label", "item"))
     known = cut(known)
+    discard(docs.sparkSession, path)
     heads = known.groupBy("label").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("members"))
     rows = sketches.count()
     known = join_counted(known, heads, "label", "members", max(1, rows), spread=F.xxhash64("item"))

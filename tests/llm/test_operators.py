@@ -415,25 +415,89 @@ def test_words_after_a_shared_passage_stay(spark):
     assert got[1].strip() == own and got[3] == f"{prose(5, 30)} {prose(6, 10)}."
 
 
-def test_starts_of_odd_white_space():
-    words = paragraphs.Openers()
-    for gap in (" ", "  ", "\n", "\t \x1c", " "):
-        text = gap + gap.join(prose(3, 30).split()) + gap
-        owner, a, b, _, _ = paragraphs.sub_paragraphs([text], words)
-        assert len(a) and text[a[0] : b[0]].split() == prose(3, 30).split()[:24]
-
-
-@pytest.mark.parametrize("n", [35, 51])
+def test_words_and_anchors_of_odd_white_space():
+    hasher = paragraphs.Hasher()
+    for gap in (" ", "  ", "\n", "\t \x1c", " é "):
+        text = gap + gap.join(prose(3, 80).split()) + gap
+        chunk = paragraphs.Chunk(["", text, "", "É" + text.upper(), ""], hasher)
+        words, begin, end = paragraphs.chunk_words(chunk, 1, text)
+        assert words == text.lower().split() and [text[a:b] for a, b in zip(begin, end)] == text.split()
+        owner, a, b, one = chunk.anchors()
+        assert len(a) and all(len(text[x:y].split()) == 24 for o, x, y in zip(owner, a, b) if o == 1)
+        assert set(one[owner == 1]) & set(one[owner == 3])
+
+
+@pytest.mark.parametrize("n", [50, 51, 80])
 def test_passages_of_any_words_have_a_common_anchor(n):
-    words = paragraphs.Openers()
+    hasher = paragraphs.Hasher()
     for seed in range(300):
-        passage = prose(seed, n)
+        passage = prose(seed, n) if seed % 3 else " ".join(["tie"] * n)
         texts = [f"{prose(1000 + seed, 40)} {passage} {prose(2000 + seed, 40)}", f"{prose(3000 + seed, 31)} Xy {passage} Yx {prose(4000 + seed, 33)}"]
-        owner, a, b, one, _ = paragraphs.sub_paragraphs(texts, words)
+        owner, a, b, one = paragraphs.Chunk(texts, hasher).anchors()
         inside = [{h for o, x, y, h in zip(owner, a, b, one) if o == k and texts[k].index(passage) <= x and y <= texts[k].index(passage) + len(passage)} for k in (0, 1)]
         assert inside[0] & inside[1]
 
 
+def test_hashes_of_very_long_words_and_texts(monkeypatch):
+    texts = ["x" * 5000 + " " + prose(1, 300), prose(2, 2000), "", prose(1, 300) + " " + "y" * 3000]
+    whole = paragraphs.Chunk(texts, paragraphs.Hasher()).hashes
+    monkeypatch.setattr(paragraphs, "SLICE", 100)
+    assert (paragraphs.Chunk(texts, paragraphs.Hasher()).hashes == whole).all()
+    seen = dict(zip(" ".join(texts).split(), whole))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_passages_against_brute_force(spark, documents):
+    rows = {r.doc_id: r.text for r in documents.collect()}
+    got = {r.doc_id: r for r in paragraphs.deduplicate(documents, report=True).collect()}
+
+    def shingles(line):
+        w = line.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    lines = [(i, k, s) for i, t in sorted(rows.items()) for k, x in enumerate(t.split("\n")) if len(x.split()) >= 24 and (s := shingles(x))]
+    parent = {(i, k): (i, k) for i, k, _ in lines}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (i, k, s) in enumerate(lines):
+        for j, m, z in lines[:n]:
+            if min(len(s), len(z)) >= 0.8 * max(len(s), len(z)) and len(s & z) >= 0.8 * len(s | z):
+                x, y = root((i, k)), root((j, m))
+                parent[max(x, y)] = min(x, y)
+    near = {(i, k): root((i, k))[0] for i, k, _ in lines}
+    words, runs, homes = {}, {}, {}
+    for i, t in sorted(rows.items()):
+        w = words[i] = t.lower().split()
+        for n in (24, 50):
+            for k in range(len(w) - n + 1):
+                homes.setdefault((n, tuple(w[k : k + n])), i)
+    for i, t in rows.items():
+        cuts = [tuple(map(int, x.split(":"))) for x in got[i].removed.split(",") if x]
+        gone, at = set(), 0
+        for m in re.finditer(r"\S+", t):
+            if any(a <= m.start() and m.end() <= b for a, b in cuts):
+                gone.add(at)
+            at += 1
+        must, may, at = set(), set(), 0
+        for k, x in enumerate(t.split("\n")):
+            n = len(x.split())
+            if near.get((i, k), i) < i:
+                must |= set(range(at, at + n))
+            at += n
+        may |= must
+        for k in range(len(words[i]) - 23):
+            if homes[24, tuple(words[i][k : k + 24])] < i:
+                may |= set(range(k, k + 24))
+            if k < len(words[i]) - 49 and homes[50, tuple(words[i][k : k + 50])] < i and homes[50, tuple(words[i][k : k + 50])] == homes[24, tuple(words[i][k : k + 24])]:
+                runs.setdefault(i, set()).update(range(k, k + 50))
+        assert must <= gone <= may, i
+        assert len(runs.get(i, set()) - gone) <= 0.02 * len(words[i]), i
+
+
 def test_passages_in_mid_sentence_go_whole(spark):
     passages = [prose(i, 51) for i in range(40)]
     texts = [f"{prose(100 + i, 30)} {p} {prose(200 + i, 30)}" for i, p in enumerate(passages)] + [f"{prose(300 + i, 33)} {p} {prose(400 + i, 29)}" for i, p in enumerate(passages)]
@@ -464,9 +528,18 @@ def test_merges_do_not_depend_on_the_buckets(monkeypatch):
     raw = [w.encode() for w in words]
     symbols, ends = own.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)], np.cumsum([len(x) for x in raw])
     a = own.merge(symbols, ends)
-    monkeypatch.setattr(bpe, "LONG", 0)
-    b = own.merge(symbols, ends)
-    assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+    for n in (1, 1000, 10**6):
+        monkeypatch.setattr(bpe, "BUCKETS", n)
+        b = own.merge(symbols, ends)
+        assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+    assert a[1][-2] == 0
+
+
+def test_bpe_of_a_very_long_word():
+    own, lib = bpe.Bpe(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    assert own.encode_batch([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
 def test_bpe_query_digests(spark):
