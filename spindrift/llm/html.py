@@ -40,25 +40,37 @@ SIBLINGS = {t: g for g in (frozenset({"li"}), frozenset({"dt", "dd"}), frozenset
 SCOPES = frozenset("ul ol dl table select article section div body html main td th".split())
 #: Elements that are never part of the article.
 DROPPED = frozenset("script style noscript template iframe svg canvas object embed nav aside footer form button select textarea input fieldset dialog menu head title".split())
-#: Words in class, id or role that mark boilerplate.
+#: Words in class, id or role that mark boilerplate: as the whole mark or its last part, or as its first part before one of BESIDE_NOISE.
 NOISE = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside rail footer colophon "
     "header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login register comment comments commentlist disqus respond replies reply discussion "
     "share sharing social related recommended recommendations pagination pager widget widgets toolbar search form contentinfo complementary skip".split()
 )
+#: Parts of a mark that leave the meaning of a word of NOISE before them as it is, and those that turn a mark into a statement about the page.
+BESIDE_NOISE = frozenset(
+    "area bar block body bottom box button buttons card column container content footer form group head header icons inline inner item items left link links list main outer panel popup posts row "
+    "right section slot stories strip text title top unit widget widgets wrap wrapper zone articles".split()
+)
+STATEMENTS = frozenset("with without has have no not is enabled disabled hide hides show shows".split())
+#: Words of NOISE for readers' own texts, which may be longer than the article.
+READERS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+#: A container marked as boilerplate is kept if it holds a headline or article and more than this share of the page's text.
+MOST = 0.5
 KEPT = frozenset(("html", "body", "main", "article"))
 SEMANTIC_MARKS = frozenset(("main", "articlebody"))
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HEADING = frozenset(("h1", "h2", "h3"))
 
 
 class Node:
-    __slots__ = ("tag", "step", "parent", "parts", "noise", "semantic")
+    __slots__ = ("tag", "step", "parent", "parts", "noise", "semantic", "inline")
 
-    def __init__(self, tag: str, step: str, parent: Node | None, noise: bool, semantic: bool):
-        self.tag, self.step, self.parent, self.noise, self.semantic = tag, step, parent, noise, semantic
+    def __init__(self, tag: str, step: str, parent: Node | None, noise: str, semantic: bool, inline: bool = False):
+        # noise: why it is boilerplate, the word of NOISE or "#" for its tag; empty if it is none
+        self.tag, self.step, self.parent, self.noise, self.semantic, self.inline = tag, step, parent, noise, semantic, inline
         self.parts: list = []  # strings, child nodes, and True and False around link text
 
     def path(self) -> str:
@@ -79,83 +91,183 @@ def generalised(tag: str, classes: str) -> str:
     return ".".join([tag, *own])
 
 
-def open_node(tag: str, raw: str, parent: Node) -> Node:
+def marks_noise(mark: str) -> str:
+    """The word of NOISE by which a class, id or role marks boilerplate, or nothing."""
+    parts = re.findall(r"[a-z]+", mark)
+    if not parts or not STATEMENTS.isdisjoint(parts):
+        return ""
+    if parts[-1] in NOISE:
+        return parts[-1]
+    return parts[0] if parts[0] in NOISE and BESIDE_NOISE.issuperset(parts[1:]) else ""
+
+
+def open_node(tag: str, raw: str, parent: Node, inline: bool = False) -> Node:
     found = attributes(raw) if raw.strip(" /\n\t") else {}
     classes = found.get("class", "")
-    words = re.split(r"[^a-z]+", f"{classes} {found.get('id', '')} {found.get('role', '')}".lower())
-    marks = {found.get("role", "").lower(), found.get("itemprop", "").lower()}
-    semantic = tag in ("article", "main") or bool(marks & SEMANTIC_MARKS)
-    noisy = tag in DROPPED or tag == "header" or "hidden" in found or (not semantic or tag == "article") and tag not in ("html", "body", "main") and not NOISE.isdisjoint(words)
-    return Node(tag, generalised(tag, classes), parent, noisy, semantic)
+    semantic = tag in ("article", "main") or bool({found.get("role", "").lower(), found.get("itemprop", "").lower()} & SEMANTIC_MARKS)
+    noisy = "#" if tag in DROPPED or tag == "header" or "hidden" in found else ""
+    if not noisy and found and (not semantic or tag == "article") and tag not in ("html", "body", "main"):
+        noisy = next(filter(None, map(marks_noise, f"{classes} {found.get('id', '')} {found.get('role', '')}".lower().split())), "")
+    return Node(tag, generalised(tag, classes), parent, noisy, semantic, inline)
+
+
+class Tags:
+    """Reads the tags of a page from left to right; what it has seen once it does not look at again."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.resumed = 0  # a reader may skip raw text by raising this
+        self.dead: set[int] = set()  # quotes from which no tag ends
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, str, str]]:
+        """First and last character (exclusive), "/" or nothing, name and attributes of each tag; the name is empty for comments and the like."""
+        html, at = self.html, 0
+        while True:
+            at = html.find("<", at)
+            if at < 0:
+                return
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 2)
+                end = len(html) if end < 0 else end + 3
+                yield at, end, "", "", ""
+                at = end
+                continue
+            if at > self.last:
+                return
+            m = OPEN.match(html, at)
+            if m:
+                end = self.end(m.end())
+                yield at, end, m[1], m[2].lower(), html[m.end() : end - 1]
+            elif html[at + 1 : at + 2] in ("!", "?"):
+                end = html.find(">", at) + 1
+                yield at, end, "", "", ""
+            else:
+                end = at + 1
+            at = self.resumed = max(end, self.resumed)
+
+    def end(self, at: int) -> int:
+        """Where a tag ends whose attributes begin here: after the first > outside quotes, or else after the first >."""
+        html, begin, seen = self.html, at, []
+        while True:
+            m = STOP.search(html, at)
+            if m is None or m.start() in self.dead:
+                break
+            if m[0] == ">":
+                return m.end()
+            seen.append(m.start())
+            at = html.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.dead.update(seen)
+        return html.find(">", begin) + 1
 
 
 def parse(html: str) -> Node:
-    """The tree of block elements of a page; inline elements leave their text only, broken nesting is closed as browsers do."""
-    root = Node("#", "", None, False, False)
+    """The tree of block elements of a page; inline elements leave their text only, broken nesting is closed as browsers do.
+
+    The work is in proportion to the length of the page, however it is broken.
+    """
+    root = Node("#", "", None, "", False)
     stack = [root]
+    places: dict[str, list[int]] = {}  # where in the stack each name is open
+
+    def last(*names: str) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def shut(k: int) -> None:
+        for node in stack[k:]:
+            places[node.tag].pop()
+        del stack[k:]
+
+    def put(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
     at = 0
-    while True:
-        m = TAG.search(html, at)
-        if m is None:
-            break
-        if m.start() > at:
-            stack[-1].parts.append(html[at : m.start()])
-        at = m.end()
-        closing, tag, raw = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if tag is None:
+    tags = Tags(html)
+    for begin, end, closing, tag, raw in tags:
+        if begin < at:  # within raw text
+            continue
+        if begin > at:
+            stack[-1].parts.append(html[at:begin])
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
         if tag == "a":
             stack[-1].parts.append(not closing)
         elif tag == "br" or tag == "wbr":
             if tag == "br":
                 stack[-1].parts.append(" ")
         elif tag in INLINE:
-            if not closing and raw and ("class" in raw or "hidden" in raw) and open_node(tag, raw, root).noise:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                if end:
-                    at = end.end()
+            muted = stack[-1] if stack[-1].inline else None
+            if muted is not None and muted.tag == tag:  # an inline element that is left out ends with its own end tag
+                put(Node(tag, tag, muted, "#", False, True)) if not closing else shut(len(stack) - 1)
+            elif not closing and raw and ("class" in raw or "hidden" in raw or "id" in raw or "role" in raw):
+                node = open_node(tag, raw, stack[-1], True)
+                if node.noise:
+                    stack[-1].parts.append(node)
+                    put(node)
         elif closing:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "body") and tag in ("p", "li", "span", "td"):
-                    break
+            k = last(tag)
+            if k > 0 and not (tag in ("p", "li", "td") and k < last("article", "main", "body")):
+                shut(k)
         else:
-            if tag in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == "p":
-                        del stack[k:]
-                        break
-                    if stack[k].tag in SCOPES:
-                        break
+            if tag in CLOSES_P and last("p") > last(*SCOPES):
+                shut(last("p"))
             group = SIBLINGS.get(tag)
-            if group:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in group:
-                        del stack[k:]
-                        break
-                    if stack[k].tag in SCOPES and stack[k].tag not in group:
-                        break
-            if tag == "body" and any(n.tag == "body" for n in stack) or tag == "html" and len(stack) > 1:
+            if group and last(*group) > last(*(SCOPES - group)):
+                shut(last(*group))
+            if tag == "body" and places.get("body") or tag == "html" and len(stack) > 1:
                 continue
             if tag in ("body", "article", "main", "div", "nav") and stack[-1].tag == "head":
-                stack.pop()
+                shut(len(stack) - 1)
             node = open_node(tag, raw, stack[-1])
             stack[-1].parts.append(node)
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                m = raw_end(tag).search(html, at)
+                at = m.end() if m else len(html)
+                tags.resumed = at
             elif tag not in VOID and not raw.endswith("/") or tag == "p":
-                stack.append(node)
+                put(node)
     if at < len(html):
         stack[-1].parts.append(html[at:])
+    spare(root)
     return root
 
 
+RAW_ENDS: dict[str, re.Pattern] = {}
+
+
+def raw_end(tag: str) -> re.Pattern:
+    if tag not in RAW_ENDS:
+        RAW_ENDS[tag] = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I)
+    return RAW_ENDS[tag]
+
+
+def spare(root: Node) -> None:
+    """Takes the mark of boilerplate off containers that hold a headline or article and most of the page's text."""
+    sizes: dict[int, tuple[int, bool]] = {}
+    marked: list[Node] = []
+    todo: list[tuple[Node, bool]] = [(root, False)]
+    while todo:
+        node, done = todo.pop()
+        if not done:
+            todo.append((node, True))
+            todo += [(x, False) for x in node.parts if isinstance(x, Node) and x.tag not in DROPPED]
+            continue
+        below = [sizes[id(x)] for x in node.parts if isinstance(x, Node) and x.tag not in DROPPED]
+        size = sum(len(x) for x in node.parts if isinstance(x, str)) + sum(n for n, _ in below)
+        sizes[id(node)] = size, node.tag in ("h1", "article", "main") or any(h for _, h in below)
+        if node.noise in NOISE and node.noise not in READERS and not node.inline:
+            marked.append(node)
+    total = sizes[id(root)][0]
+    for node in marked:
+        size, headed = sizes[id(node)]
+        if headed and size > MOST * total:
+            node.noise = ""
+
+
 def blocks(top: Node, inside: bool = False) -> list[tuple[Node, str, int]]:
     """The text blocks below a node in page order, each with its element and its characters within links; boilerplate is left out.
 
@@ -182,7 +294,7 @@ def blocks(top: Node, inside: bool = False) -> list[tuple[Node, str, int]]:
                     text.append(part)
                     if link:
                         linked[0] += len(part)
-            else:
+            elif not part.inline:
                 close(node, text, linked)
                 heads = only_headings
                 if part.noise:
@@ -223,8 +335,8 @@ def matching(root: Node, path: str) -> list[Node]:
     return level
 
 
-def beside(node: Node) -> list[tuple[str, str, bool]]:
-    """What the parent of a container adds to it: step, text and whether it is mostly links, of each part with text."""
+def beside(node: Node, group: frozenset[int] | None = None) -> list[tuple[str, str, bool]]:
+    """What the parent of a container, or of a group of them, adds to it: step, text and whether it is mostly links, of each part with text."""
     out: list[tuple[str, str, bool]] = []
     loose, linked, link = [], 0, False
     for part in node.parent.parts:
@@ -233,7 +345,7 @@ def beside(node: Node) -> list[tuple[str, str, bool]]:
         elif isinstance(part, str):
             loose.append(part)
             linked += len(part) if link else 0
-        elif part is not node and (not part.noise or part.tag == "header"):
+        elif part is not node and not (group and id(part) in group) and (not part.noise or part.tag == "header"):
             found = [b for b in blocks(part, True) if not part.noise or b[0].tag in HEADING]
             if found:
                 rest = [(len(t), n) for b, t, n in found if b.tag not in HEADING]
@@ -244,34 +356,48 @@ def beside(node: Node) -> list[tuple[str, str, bool]]:
     return out
 
 
-def climbed(node: Node, most: int | None) -> Node:
-    """The widest ancestor, at most so many levels up, that adds no boilerplate; headers count only if the host's pages tell."""
-    up, level, best = node, 0, node
+def climbed(nodes: list[Node], most: int | None) -> list[Node]:
+    """For containers with one parent the widest ancestor, at most so many levels up, that adds no boilerplate, or else themselves.
+
+    Headers count only if the host's pages tell.
+    """
+    up, level, best, group = nodes[0], 0, nodes, frozenset(map(id, nodes))
     while up.tag != "body" and up.parent.tag not in ("#", "html") and (most is None or level < most):
-        added = beside(up)
+        added = beside(up, group if level == 0 else None)
         if any(heavy or most is None and step.split(".")[0] == "header" for step, _, heavy in added):
             break
         up, level = up.parent, level + 1
         if added:
-            best = up
+            best = [up]
     return best
 
 
 def extract(html: str, path: str | None, climb: int | None = None) -> str:
-    """The main text of one page with the path of its host and the levels that its pages may climb."""
+    """The main text of one page with the path of its host and the levels that its pages may climb.
+
+    A page without that path is extracted with the path of its own best container.
+    """
     root = parse(html)
     nodes = [n for n in (matching(root, path) if path else []) if blocks(n, True)]
     if not nodes:
-        nodes, climb = [n for _, n in containers(root)[:1]], None
-    tops = {id(n): n for n in (climbed(n, climb) for n in nodes)}.values()
-    outer = [n for n in tops if not any(n is not m and within(n, m) for m in tops)]
+        climb = None
+        for _, best in containers(root)[:1]:
+            twins = [n for n in (best.parent.parts if best.tag == "article" else ()) if isinstance(n, Node) and n.tag == "article" and not n.noise and blocks(n, True)]
+            nodes = twins or [n for n in matching(root, best.path()) if blocks(n, True)] or [best]
+    families: dict[int, list[Node]] = {}
+    for n in nodes:
+        families.setdefault(id(n.parent), []).append(n)
+    tops = {id(n): n for own in families.values() for n in climbed(own, climb)}
+    outer = [n for n in tops.values() if not inside(n, tops)]
     return "\n".join(t for n in outer or [root] for _, t, _ in blocks(n, bool(outer)))
 
 
-def within(node: Node | None, top: Node) -> bool:
-    while node is not None and node is not top:
-        node = node.parent
-    return node is top
+def inside(node: Node, tops: dict[int, Node]) -> bool:
+    """Whether a node stands below another one of them."""
+    up = node.parent
+    while up is not None and id(up) not in tops:
+        up = up.parent
+    return up is not None
 
 
 def host() -> Column:
