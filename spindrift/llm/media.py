@@ -120,16 +120,19 @@ def read_tracks(content: bytes) -> list[Track]:
     data = memoryview(content)
     tracks: list[dict] = []
 
-    def walk(at: int, end: int) -> None:
-        for kind, a, b in boxes(data, at, end):
-            if kind == b"trak":
-                tracks.append({})
-            if kind in CONTAINERS:
-                walk(a, b)
-            elif tracks:
-                tracks[-1][kind] = (a, b)
-
-    walk(0, len(data))
+    todo = [boxes(data, 0, len(data))]
+    while todo:  # as deep as the file nests its boxes
+        found = next(todo[-1], None)
+        if found is None:
+            todo.pop()
+            continue
+        kind, a, b = found
+        if kind == b"trak":
+            tracks.append({})
+        if kind in CONTAINERS:
+            todo.append(boxes(data, a, b))
+        elif tracks:
+            tracks[-1][kind] = (a, b)
     return [_resolve(data, t) for t in tracks]
 
 
@@ -145,20 +148,28 @@ def _resolve(data: memoryview, at: dict[bytes, tuple[int, int]]) -> Track:
         return out
     a = at[b"stsz"][0]
     fixed, count = struct.unpack_from(">II", data, a + 4)
+    if fixed * count > len(data):
+        raise ValueError("samples beyond the file")
     out.sizes = np.full(count, fixed, dtype=np.int64) if fixed else _table(data, a, ">u4", skip=8)
     if b"stts" in at and not out.duration:
         runs = _table(data, at[b"stts"][0], ">u4", 2)
-        out.duration = float((runs[:, 0] * runs[:, 1]).sum()) / max(1, out.timescale)
+        out.duration = float((runs[:, 0].astype(np.float64) * runs[:, 1]).sum()) / max(1, out.timescale)
     offsets = _table(data, at[b"co64"][0], ">u8") if b"co64" in at else _table(data, at[b"stco"][0], ">u4")
     runs = _table(data, at[b"stsc"][0], ">u4", 3)
     if len(runs) and len(offsets):
         spans = np.diff(np.r_[runs[:, 0], len(offsets) + 1])
         per_chunk = np.repeat(runs[:, 1], spans)
-        chunk_of = np.repeat(np.arange(len(offsets)), per_chunk)[: len(out.sizes)]
+        if per_chunk.astype(np.float64).sum() != len(out.sizes):
+            raise ValueError("chunks and samples differ")
+        chunk_of = np.repeat(np.arange(len(offsets)), per_chunk)
         before = np.cumsum(out.sizes) - out.sizes
         first = np.r_[0, np.cumsum(per_chunk)][:-1]
         out.starts = offsets[chunk_of] + before - before[np.minimum(first, len(before) - 1)][chunk_of]
+        if len(out.starts) and (out.starts.min() < 0 or (out.starts + out.sizes).max() > len(data)):
+            raise ValueError("samples beyond the file")
     out.keys = _table(data, at[b"stss"][0], ">u4") - 1 if b"stss" in at else np.arange(len(out.sizes))
+    if len(out.keys) and (out.keys.min() < 0 or out.keys.max() >= len(out.sizes)):
+        raise ValueError("keyframes beyond the samples")
     return out
 
 
@@ -180,7 +191,10 @@ def describe(track: Track) -> str:
 def media_features(media: DataFrame, column: str, id_column: str) -> DataFrame:
     """Codec, duration in seconds and keyframe byte ranges of the first track of each file in a binary column.
 
-    Null, empty or broken files give nulls; a track without a sync table has keyframes only.
+    Null, empty or broken files give nulls, as do those whose tables point beyond the file; a track without
+    a sync table has keyframes only. Compact sample sizes (stz2) and movie fragments are not read: such a
+    track has no samples. Null ids stay null, repeated rows give repeated rows, files of any size and depth
+    of boxes are walked, an empty table gives no rows; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,8 +218,9 @@ def media_features(media: DataFrame, column: str, id_column: str) -> DataFrame:
 def store_texts(docs: DataFrame) -> DataFrame:
     """Stores each text in a container, reads the container back and describes it; one row per document.
 
-    A null text is empty: a payload of FRAME zero bytes. Equal texts give equal values. A null id stays
-    null; repeated rows give repeated rows; other columns are not read.
+    A null text is empty: a payload of FRAME zero bytes. Equal texts give equal values. A text of any
+    length is one payload. A null id stays null; repeated rows give repeated rows; an empty table gives no
+    rows; other columns are not read, so they may have any names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
