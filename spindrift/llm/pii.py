@@ -8,6 +8,7 @@ classifier of span features, trained on the resulting posteriors, decides which
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -113,13 +114,22 @@ def wider_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     if not HINT.search(text):
         return []
     found: list[tuple[str, int, int]] = []
-    taken = [(a, b) for _, a, b in base]
+    begins: list[int] = []  # of what is taken: parts that do not overlap, in order
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if begins and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     more = [(kind, *m.span()) for kind, pattern in WIDER for m in pattern.finditer(text)]
     more += [("card", *m.span()) for m in CARD.finditer(text) if m.end() - m.start() >= 13 and 13 <= len(re.sub("[ -]", "", m[0])) <= 19]
     for kind, a, b in more:
-        if all(b <= x or a >= y for x, y in taken):
+        at = bisect.bisect_right(begins, a)
+        if (not at or ends[at - 1] <= a) and (at == len(begins) or b <= begins[at]):
             found.append((kind, a, b))
-            taken.append((a, b))
+            begins.insert(at, a)
+            ends.insert(at, b)
     return found
 
 
@@ -270,8 +280,10 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 def find(docs: DataFrame) -> DataFrame:
     """Counts and digest of the base spans and all spans of every row; offsets in code points, ends exclusive.
 
-    A null or empty text has no spans, hence counts 0, the digest of nothing and empty spans. Null ids
-    stay null, repeated rows give repeated rows; only columns doc_id and text are read.
+    n_spans counts all spans. A null or empty text has no spans, hence counts 0, the digest of nothing and
+    empty spans. Of candidates that overlap the first pattern's stays. A text of any length is read whole,
+    in time in proportion to it. Null ids stay null, repeated rows give repeated rows, an empty table gives
+    no rows; only columns doc_id and text are read, so others may have any names.
     """
     found = cut(candidates(docs))
     model = learn(found)
@@ -283,18 +295,20 @@ def find(docs: DataFrame) -> DataFrame:
             for own in t.column(1).to_pylist():
                 base = [(s["kind"], s["start"], s["end"]) for s in own if s["base"]]
                 counts = Counter(k for k, _, _ in base)
-                rows.append((*(counts[k] for k in KINDS[:4]), hashlib.sha256(joined(base).encode()).hexdigest(), joined(decided(own, weights))))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [*[pa.int64()] * 4, pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([t.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                kept = decided(own, weights)
+                rows.append((*(counts[k] for k in KINDS[:4]), hashlib.sha256(joined(base).encode()).hexdigest(), joined(kept), len(kept)))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([t.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
-    return found.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return found.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span that find() gives replaced by its kind in brackets; n_chars, if there, follows the text.
 
-    Overlapping spans are replaced as one, under the kind of the first. Null texts stay null.
+    Overlapping spans are replaced as one, under the kind of the first. Null texts stay null, as do null
+    ids; repeated rows stay, an empty table gives no rows, other columns may have any names.
     """
     model = learn(cut(candidates(docs)))
     weights = None if model is None else model["weights"]
