@@ -462,24 +462,40 @@ def first_of_each(docs: DataFrame, bands: Bands = Bands(), threshold: float = TH
     """docs without the rows of each class that do not have its smallest doc_id, and without repeated rows.
 
     Texts without words and rows with null ids stay. Of several texts with one id, each goes or stays by
-    its own class.
+    its own class; of rows with one id and text one stays. Texts of any length are compared whole, an empty
+    table gives no rows, and other columns may have any names. Only rows of ids that are in question are
+    shuffled.
     """
     found = _keyed_classes(docs, bands, threshold).where(F.col("doc_id").isNotNull())
     beaten = F.col("doc_id") != F.col("class_id")
-    each = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.when(beaten, F.col("key"))).alias("_gone"), F.bool_and(beaten).alias("_all"))
-    gone = cut(each.where(F.size("_gone") > 0))
-    split = gone.where(~F.col("_all"))  # ids of which some texts stay
-    kept = docs.join(gone.select("_doc"), F.col("doc_id") == F.col("_doc"), "left_anti")
-    if not split.isEmpty():
-
+    each = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.when(beaten, F.col("key"))).alias("gone"), F.bool_and(beaten).alias("all_gone"), F.count(F.lit(1)).alias("n"))
+    asked = cut(each.where((F.size("gone") > 0) | (F.col("n") > 1)))
+    wanted = bitmap(asked.select("id"))
+    total, split = asked.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(~F.col("all_gone") & (F.size("gone") > 0)), F.lit(False))).first()
+    columns, schema = docs.columns, docs.schema
+    at = columns.index("doc_id")
+
+    def part(hit: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in batches:
-                at = t.schema.get_field_index("text")
-                gone_keys = t.column(t.num_columns - 1).to_pylist()
-                stays = [key_of(words_of(x)) not in g for x, g in zip(strings(t.column(at)), gone_keys, strict=True)]
-                yield t.select(range(t.num_columns - 1)).filter(pa.array(stays, pa.bool_()))
-
-        mixed = docs.join(split.select("_doc", "_gone"), F.col("doc_id") == F.col("_doc")).select(*docs.columns, "_gone")
-        kept = kept.unionByName(mixed.mapInArrow(run, docs.schema))
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # null ids are no repeats
-    return kept.withColumn("_alone", alone).dropDuplicates(["doc_id", "text", "_alone"]).select(docs.columns)
+                ids = t.column(at)
+                mask = in_bitmap(wanted, ids.cast(pa.int64()).fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield t.filter(pa.array(mask if hit else ~mask))
+            release()
+
+        return run
+
+    rows = docs.mapInArrow(part(True), schema).select(F.col("doc_id").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    left = join_counted(rows, asked, "id", "n", max(1, total), spread=F.xxhash64("row.text")).where("NOT coalesce(all_gone, false)")
+    if split:  # of some ids one text goes and another stays
+
+        def stays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in batches:
+                texts = strings(t.column(1).field("text"))
+                mask = [not gone or key_of(words_of(x)) not in gone for x, gone in zip(texts, t.column(2).to_pylist(), strict=True)]
+                yield t.filter(pa.array(mask, pa.bool_()))
+
+        left = left.mapInArrow(stays, left.schema)
+    once = left.where("n > 1").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
+    own = [F.col(f"row.`{c}`").alias(c) for c in columns]
+    return docs.mapInArrow(part(False), schema).union(left.where("coalesce(n, 1) = 1").select(own)).union(once.select(own))
