@@ -28,6 +28,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 CHUNK_BYTES = 4 << 20
 #: Different space-separated chunks that are kept with their ids before the memory is emptied.
 KEEP_CHUNKS = 200_000
+#: Pairs that are looked up together.
+SLICE = 1 << 16
 #: Buckets of ranks in the index, at least; where a word has more than 64 times as many symbols, one per 64 of them.
 BUCKETS = 32
 
@@ -114,17 +116,20 @@ class Bpe:
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair, or -1."""
-        want = a.astype(np.int64) * self.base + b
-        at = self._slot(want)
-        found = self.slots[at]
-        out = np.where(found == want, self.slot_ranks[at], -1)
-        open_ = np.flatnonzero((found != want) & (found >= 0))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
-            found = self.slots[at[open_]]
-            hit = found == want[open_]
-            out[open_[hit]] = self.slot_ranks[at[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
+        out = np.empty(len(a), dtype=np.int32)
+        for i in range(0, len(a), SLICE):
+            want = a[i : i + SLICE].astype(np.int64) * self.base + b[i : i + SLICE]
+            at = self._slot(want)
+            found = self.slots[at]
+            own = np.where(found == want, self.slot_ranks[at], -1)
+            open_ = np.flatnonzero((found != want) & (found >= 0))
+            while len(open_):
+                at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+                found = self.slots[at[open_]]
+                hit = found == want[open_]
+                own[open_[hit]] = self.slot_ranks[at[open_[hit]]]
+                open_ = open_[~hit & (found >= 0)]
+            out[i : i + SLICE] = own
         return out
 
     def merge(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +145,7 @@ class Bpe:
         nxt[full - 1] = n
         prv[np.r_[0, full[:-1]]] = n
         pair = np.full(n + 1, none, dtype=np.int32)  # the rank of the pair that begins at each place
-        at = np.flatnonzero(nxt[:n] < n)
+        at = np.flatnonzero(nxt[:n] < n).astype(np.int32)
         found = self._ranks(ids[at], ids[at + 1])
         pair[at] = np.where(found < 0, none, found)
         buckets = min(none, max(BUCKETS, int(sizes.max()) // 64))
@@ -151,14 +156,14 @@ class Bpe:
             """Puts places under their ranks' buckets, from bucket `least` on."""
             if not len(places):
                 return
-            bucket = np.maximum(ranks // width, least)
-            order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.int32), kind="stable")
+            bucket = np.maximum(ranks // width, least).astype(np.uint16 if buckets < 1 << 16 else np.int32)
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
             bucket, places, ranks = bucket[order], places[order], ranks[order]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
                 index[bucket[a]].append((places[a:b], ranks[a:b]))
 
-        at = at[found >= 0].astype(np.int32)
+        at = at[found >= 0]
         file(at, pair[at], 0)
         lowest = np.full(len(sizes), none, dtype=np.int32)
         chosen = np.zeros(n + 1, dtype=bool)

@@ -61,6 +61,15 @@ BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGH
     >> (3 - (5 * i + j) % 4)) % 2 * (16 >> j)))::INT, 1)), '')"""
 
 ORACLES: dict[str, str] = {
+    "op3_bayes_minhash_join": r"""WITH RECURSIVE w AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS ws FROM documents),
+    k AS MATERIALIZED (SELECT ws, min(doc_id) AS c, count(*) AS copies FROM w WHERE len(ws) > 0 GROUP BY ws),
+    g AS (SELECT DISTINCT c, unnest(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM k),
+    h AS MATERIALIZED (SELECT c, s FROM g), n AS MATERIALIZED (SELECT c, count(*) AS n FROM h GROUP BY c),
+    l AS MATERIALIZED (SELECT p.a, p.b FROM (SELECT x.c AS a, y.c AS b, count(*) AS both FROM h x JOIN h y ON x.s = y.s AND x.c <> y.c GROUP BY x.c, y.c) p JOIN n na ON na.c = p.a JOIN n nb ON nb.c = p.b WHERE p.both >= 0.8 * (na.n + nb.n - p.both) - 1e-9),
+    m(c, root) USING KEY (c) AS (SELECT c, c FROM k UNION SELECT l.b, min(m.root) FROM m JOIN l ON l.a = m.c JOIN recurring.m y ON y.c = l.b WHERE m.root < y.root GROUP BY l.b),
+    e AS (SELECT k.c, sum(z.copies) AS n FROM k JOIN l ON l.a = k.c JOIN k z ON z.c = l.b GROUP BY k.c)
+    SELECT w.doc_id, CASE WHEN k.c IS NULL THEN w.doc_id ELSE m.root END AS class_id, CAST(CASE WHEN k.c IS NULL THEN 0 ELSE k.copies - 1 + coalesce(e.n, 0) END AS BIGINT) AS n_links
+    FROM w LEFT JOIN k ON k.ws = w.ws LEFT JOIN m ON m.c = k.c LEFT JOIN e ON e.c = k.c""",
     "op5_warc_revisits": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
     d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h FROM p),
     f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)

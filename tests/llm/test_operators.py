@@ -557,7 +557,7 @@ def test_bpe_query_digests(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
     want = con.execute(queries.ORACLES[name])
