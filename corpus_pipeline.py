@@ -12,32 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.llm import jaccard, packing, paragraphs, pii, quality
-from spindrift.llm.common import ensure_checkpoint_dir, table
+from spindrift.llm.common import ensure_checkpoint_dir, free_name, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the Bradley-Terry classifier accepts."""
-    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), column="_quality")
-    return scored.where(F.col("_quality") >= 0.5).select(docs.columns)
+    """Documents that the Bradley-Terry classifier accepts.
+
+    Null and empty texts and very long ones are scored like others; rows with null ids and repeated rows
+    are judged by their texts; an empty table gives no rows; other columns may have any names.
+    """
+    column = free_name("_quality", docs.columns)
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), column=column)
+    return scored.where(F.col(column) >= 0.5).select(docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id."""
+    """One document of each group of near duplicates, that of the smallest doc_id.
+
+    Texts without words and rows with null ids stay, repeated rows stay once, very long texts are compared
+    whole; an empty table gives no rows; other columns may have any names.
+    """
     return jaccard.first_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document has."""
+    """Documents without the passages that an earlier document has.
+
+    Every row stays, if with an empty text; null texts and rows with null ids stay as they are, rows with one
+    id keep each other's passages, very long texts are compared whole; an empty table gives no rows; other
+    columns may have any names.
+    """
     return paragraphs.deduplicate(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
+    """Documents with personal data replaced by its kind.
+
+    Every row stays; null and empty texts and null ids stay as they are, repeated rows change alike, very
+    long texts are searched whole; an empty table gives no rows; other columns may have any names.
+    """
     return pii.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens."""
+    """Pieces of documents in sequences of at most 1024 tokens.
+
+    Null and empty texts are one piece of the end token, very long ones are cut into full pieces; null ids
+    and repeated rows are packed like others; an empty table gives no rows; other columns are not read.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
