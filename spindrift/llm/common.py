@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 #: A key is hot if it holds at least one row in this many; so at most this many keys are hot.
 HOT_SHARE = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder; Arrow batches of the session become small, in rows and in bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -216,6 +216,24 @@ def test_vectors_of_odd_kinds(spark):
     assert balltree.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_many_shards_and_hot_vectors(spark, monkeypatch):
+    """Clustered vectors, a third of them equal, in many leaves and parts; blocks drop the leaves that cannot answer."""
+    for name, n in (("SHARD_ROWS", 64), ("BLOCK_ROWS", 8), ("BLOCKS_A_COPY", 2), ("LEAF_ROWS", 16)):
+        monkeypatch.setattr(balltree, name, n)
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(12, 5)) * 6
+    x = np.concatenate([centres[np.arange(1000) % 12] + r.normal(size=(1000, 5)) * 0.2, np.tile([1.0, 2.0, 3.0, 4.0, 5.0], (500, 1))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    e = np.floor(64 * x.astype(np.float64)).astype(np.int64)
+    got = {}
+    for row in balltree.top_k(df, F.col("vec_id") % 20 == 0, 20).collect():
+        got.setdefault(row.query_id, {})[row["rank"]] = (row.score, row.vec_id)
+    for q in range(0, 1500, 20):
+        s = e @ e[q]
+        want = sorted(((int(v), i) for i, v in enumerate(s) if i != q), key=lambda t: (-t[0], t[1]))[:20]
+        assert [got[q][k] for k in range(1, 21)] == want
+
+
 # -- 8 -------------------------------------------------------------------------
 
 
