@@ -31,12 +31,12 @@ THRESHOLD = 0.8
 TOLERANCE = 1e-4
 #: Values compared between two looks at the posterior.
 STEP = 14
-#: Members of a block; two blocks meet in memory.
+#: Members of a block; two blocks meet in memory, and no meeting is much larger than a task's usual share.
 BUCKET_BLOCK = 1024
-GROUP_BLOCK = 512
+GROUP_BLOCK = 128
 #: Shingles of a block.
 GROUP_SHINGLES = 1_000_000
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 17
 CHUNK_BYTES = 2 << 20
 KEEP_WORDS = 120_000
 
@@ -225,6 +225,14 @@ def meetings(rows: DataFrame, key: str, blocks: Column, item: str = "item") -> D
     return each.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other")).drop("_blocks", "_other")
 
 
+def seated(met: DataFrame, key: str) -> DataFrame:
+    """Deals meetings to tasks: those of one key to one task after another, so that the meetings of a large key do not land together."""
+    n = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.expr("pmod(CAST(high AS BIGINT) * (high + 1) div 2 + low, {n})".format(n=n))
+    slot = F.pmod(F.pmod(F.xxhash64(key), F.lit(n)) + place, F.lit(n)).cast("int")
+    return met.withColumn("_slot", slot).repartitionById(n, "_slot").drop("_slot").sortWithinPartitions(key, "low", "high")
+
+
 def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Consecutive rows with equal first `keys` columns."""
     held: list[pa.Table] = []
@@ -291,7 +299,7 @@ def _bucket_links(members: DataFrame, threshold: float) -> DataFrame:
         release()
 
     met = meetings(members, "bucket", F.ceil(F.col("n") / BUCKET_BLOCK))
-    met = met.select("bucket", "low", "high", "block", "item", "signature").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    met = seated(met.select("bucket", "low", "high", "block", "item", "signature"), "bucket")
     return met.mapInArrow(run, "a long, b long")
 
 
@@ -423,7 +431,7 @@ def linked(classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], threshol
     extents = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("n_all"))
     whole = join_counted(groups, extents, "label", "members", max(1, total), spread=F.xxhash64("item"))
     met = meetings(whole.join(fetched, "key"), "label", F.greatest(F.ceil(F.col("members") / GROUP_BLOCK), F.ceil(F.col("n_all") / GROUP_SHINGLES)))
-    met = met.select("label", "low", "high", "block", "item", "signature", "copies", "text").repartition("label", "low", "high").sortWithinPartitions("label", "low", "high")
+    met = seated(met.select("label", "low", "high", "block", "item", "signature", "copies", "text"), "label")
     found = cut(_group_links(met, threshold))
     final = components(found.select(F.col("item").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("item").agg(F.sum("links").alias("links"))
