@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindrift.operators.lineage import cut, discard, stored
+from spindrift.operators.lineage import shared_folder as ensure_checkpoint_dir
+from spindrift.operators.skew import components, join_counted
+
+__all__ = ["bitmap", "components", "cut", "discard", "ensure_checkpoint_dir", "free_name", "in_bitmap", "join_counted", "may_be_in", "ranges", "regroup", "release", "stored", "strings", "table"]
+
 #: Rows in an Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
-#: A key is hot if it holds at least one row in this many; so at most this many keys are hot.
-HOT_SHARE = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,41 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which a cluster shares; one of our own only if it is unset and all runs in one process."""
-    sc = spark.sparkContext
-    set_to = sc.getConf().get("spark.checkpoint.dir")
-    if not set_to:
-        set_to = sc.getCheckpointDir()
-        if not set_to:
-            if sc.master.partition("[")[0] != "local":
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            set_to = tempfile.mkdtemp(prefix="spindrift-")
-            sc.setCheckpointDir(set_to)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(set_to)
-    return set_to
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder, so that lost executors cost no rerun."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """df as a Parquet table in the shared folder, for what is read more than once, and the table's path."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a stored table that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def release() -> None:
     """Gives the free memory of this worker back to the system; workers live on between tasks."""
     gc.collect()
@@ -103,23 +70,6 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
 
 
-def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, spread: Column) -> DataFrame:
-    """Left join of rows with groups, one row per key, whose `size` column says how many rows a key has.
-
-    Keys with at least total/HOT_SHARE rows, HOT_SHARE at most, are broadcast, so no task gathers a hot
-    key. The others are joined by a shuffle, in which rows of hot keys go by `spread` (of the key's type).
-    """
-    floor = max(2, -(-total // HOT_SHARE))
-    others = [c for c in groups.columns if c != key]
-    hot = groups.where(F.col(size) >= floor).select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in others])
-    cold = groups.where(F.col(size) < floor).select(F.col(key).alias("_cold_key"), F.lit(False).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in others])
-    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    is_hot = F.col("_hot_key").isNotNull()
-    tagged = tagged.withColumn("_to", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.col(key))).withColumn("_is_hot", is_hot | F.col(key).isNull())
-    joined = tagged.join(cold, (F.col("_to") == F.col("_cold_key")) & (F.col("_is_hot") == F.col("_cold")), "left")
-    return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in others])
-
-
 #: Bits of a bitmap, as powers of two: the least, the most (16 MB), and how many more than values there are.
 BITMAP_LEAST, BITMAP_MOST, BITMAP_ROOM = 20, 27, 4
 
@@ -158,33 +108,3 @@ def may_be_in(bits: np.ndarray, ids: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """in_bitmap for a column of ids; null ids always pass."""
     missing = ids.is_null().to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.is_null().to_numpy()
     return missing | in_bitmap(bits, ids.fill_null(0).to_numpy())
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, label: the connected components of edges (a, b) of longs, each labelled by its smallest node.
-
-    Large-star and small-star steps in turn; each reduces by key before it shuffles, a hub's edges are
-    not gathered, and the edges of each round are checkpointed.
-    """
-
-    def nearest(e: DataFrame, total: int) -> DataFrame:
-        least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        return join_counted(e, least, "u", "n", total, spread=F.xxhash64("u", "v")).select("u", "v", F.least("m", "u").alias("m"))
-
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first())
-
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = cut(e)
-    before = mark(e)
-    while before[0]:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = nearest(both, 2 * before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = nearest(large, before[0])
-        e = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = cut(e)
-        after = mark(e)
-        if after == before:
-            break
-        before = after
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
