@@ -177,6 +177,12 @@ def least_matches(n: int, threshold: float, tolerance: float) -> np.ndarray:
     return out
 
 
+def prepared(bands: Bands, threshold: float) -> None:
+    """Makes on the driver what every task needs; MADE travels with the functions that read it."""
+    permutations(bands.bands * bands.rows)
+    least_matches(bands.bands * bands.rows, threshold, TOLERANCE)
+
+
 def surviving(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of signatures (rows of a and b) stay when their values are compared step by step."""
     n = a.shape[1]
@@ -452,6 +458,7 @@ def similarity_classes(docs: DataFrame, bands: Bands = Bands(), threshold: float
 
 def _keyed_classes(docs: DataFrame, bands: Bands, threshold: float) -> DataFrame:
     """similarity_classes with the key of each text, null if it has no words."""
+    prepared(bands, threshold)
     sketches = cut(sketched(docs, bands))
     classes, path = classes_of(sketches)
     found = linked(classes, texts_of(docs), threshold)

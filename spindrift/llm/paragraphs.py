@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.common import bitmap, cut, discard, free_name, in_bitmap, join_counted, may_be_in, ranges, regroup, release, stored, strings
-from spindrift.llm.jaccard import SHINGLE, THRESHOLD, Bands, U, band_hashes, classes_of, key_number, linked, min_hashes, pair_number, pair_numbers
+from spindrift.llm.jaccard import SHINGLE, THRESHOLD, Bands, U, band_hashes, classes_of, key_number, linked, min_hashes, pair_number, pair_numbers, prepared
 
 #: Words of the shortest paragraph, or run inside one, that counts as a passage.
 LEAST_WORDS = 24
@@ -441,6 +441,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, report: bool = Fa
     (start:end, comma-joined, code points) and text are returned instead.
     """
     spark = docs.sparkSession
+    prepared(BANDS, threshold)
     units, path = stored(_units(docs))
     names = [x.split()[0] for x in PLACE.split(", ")]
     runs, with_runs = _repeated_runs(docs, units.where("hash IS NOT NULL").select("hash", *names))
